@@ -9,6 +9,7 @@ partial (map-side) so a hot key is combined before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,20 +87,20 @@ def build_satellite(df: DataFrame, parents: dict[str, Column], natural_key: Sequ
     ``natural_key``: parts joined by ``|`` (standardised) and hashed; any NULL part gives a
     NULL key. ``diff``: parts already rendered as text, NULL -> ``'NULL'``.
     ``reject_null_keys`` drops rows whose natural key is NULL (they would be re-inserted
-    on every append run). ``dedupe`` keeps one row per (natural key, diff) of the batch,
-    choosing the smallest attribute tuple, so replaying overlapping dumps inserts once.
+    on every append run). ``dedupe`` keeps one copy of identical rows of the batch, so
+    overlapping dumps insert once.
     """
+    nk_parts = list(natural_key)
+    if reject_null_keys:
+        # The key is NULL exactly when a part is: test the parts, so the hash is computed once.
+        df = df.filter(reduce(lambda a, b: a & b, [p.isNotNull() for p in nk_parts]))
     cols = [c.alias(n) for n, c in parents.items()]
-    cols += [F.sha2(std(composite_text(list(natural_key))), 256).alias(HASH_NK), hash_diff(diff).alias(HD)]
+    cols += [F.sha2(std(composite_text(nk_parts)), 256).alias(HASH_NK), hash_diff(diff).alias(HD)]
     cols += [F.col(a) for a in attrs]
     sat = df.select(*cols)
-    if reject_null_keys:
-        sat = sat.filter(F.col(HASH_NK).isNotNull())
     if dedupe:
-        rest = [n for n in sat.columns if n not in (HASH_NK, HD)]
-        sat = (sat.groupBy(HASH_NK, HD).agg(F.min(F.struct(*rest)).alias("__r"))
-               .select(*[F.col(f"__r.{n}").alias(n) for n in parents], HASH_NK, HD,
-                       *[F.col(f"__r.{a}").alias(a) for a in attrs]))
+        # Identical rows of overlapping dumps collapse to one (hash aggregate on all columns).
+        sat = sat.distinct()
     return sat.withColumn("load_dt", _load_dt(load_dt))
 
 

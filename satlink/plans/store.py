@@ -16,6 +16,7 @@ Reads go back to the files, so every write also cuts the lineage of what follows
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +86,12 @@ class VaultStore:
         df.write.mode("errorifexists").parquet(path)
         return self.read(table)
 
+    def write_scratch(self, df: DataFrame, table: str, label: str) -> DataFrame:
+        """Write an intermediate of a load of ``table`` once and read it back (lineage cut)."""
+        path = f"{self.root}/_scratch/{table}/{label}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
+
     def compact(self, table: str, files: int | None = None) -> DataFrame | None:
         """Fold base + deltas into one new base (the old folders stay until vacuumed)."""
         df = self.read(table)
