@@ -92,6 +92,15 @@ class VaultStore:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def mark(self, name: str) -> None:
+        """Record that a unit of work (e.g. a stream micro-batch) has been committed."""
+        fs, p = self._fs_path(f"{self.root}/_markers/{name}")
+        fs.mkdirs(p)
+
+    def marked(self, name: str) -> bool:
+        fs, p = self._fs_path(f"{self.root}/_markers/{name}")
+        return bool(fs.exists(p))
+
     def compact(self, table: str, files: int | None = None) -> DataFrame | None:
         """Fold base + deltas into one new base (the old folders stay until vacuumed)."""
         df = self.read(table)

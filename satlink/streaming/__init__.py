@@ -1,0 +1,3 @@
+"""Incremental ingestion of landed payloads with Structured Streaming."""
+
+from satlink.streaming.landing_stream import start_landing_loads  # noqa: F401
