@@ -39,7 +39,9 @@ def build_hub(df: DataFrame, bkey: Column | str, name: str, load_dt, dedupe_on:
     k = _c(bkey).alias("bkey")
     keys = df.select(k).filter(F.col("bkey").isNotNull())
     if dedupe_on == "hk":
-        keys = keys.groupBy(std("bkey").alias("skey")).agg(F.min("bkey").alias("bkey"))
+        # distinct raw keys first (hash aggregate, partial per task); only the distinct set
+        # reaches the sort-based min per standardised key.
+        keys = keys.distinct().groupBy(std("bkey").alias("skey")).agg(F.min("bkey").alias("bkey"))
         hk = F.sha2(F.col("skey"), 256)
     elif dedupe_on == "raw":
         keys = keys.distinct()

@@ -257,15 +257,22 @@ def q_pit_commit_day(spark, sf_dir):
     return PIT.pit_commit_day(_first_load(spark, sf_dir, "sat_commit_meta"))
 
 
+def stage_once(spark, df: DataFrame, label: str) -> DataFrame:
+    """Write a staging result once so several consumers read files instead of re-parsing."""
+    out = run_dir(spark, f"stage-{label}")
+    df.write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def q_mart_article_traffic_daily(spark, sf_dir):
-    stg = staged(Tables(spark, sf_dir), "wikimedia")
+    stg = stage_once(spark, staged(Tables(spark, sf_dir), "wikimedia"), "wikimedia")
     sat = V.sat_article_views(stg, LOAD_DT_1)
     return M.article_traffic_daily(V.hub_article(stg, LOAD_DT_1), V.link_project_article(stg, LOAD_DT_1),
                                    PIT.pit_article_day(sat))
 
 
 def q_mart_population_by_country_year(spark, sf_dir):
-    stg = staged(Tables(spark, sf_dir), "worldbank")
+    stg = stage_once(spark, staged(Tables(spark, sf_dir), "worldbank"), "worldbank")
     sat = V.sat_country_indicator_values(stg, LOAD_DT_1)
     return M.population_by_country_year(V.hub_country(stg, LOAD_DT_1), V.hub_indicator(stg, LOAD_DT_1),
                                         PIT.pit_country_indicator_year(sat))

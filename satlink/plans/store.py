@@ -1,16 +1,19 @@
 """Snapshot store for vault tables on any Hadoop-compatible file system.
 
-Layout per table: ``<root>/<table>/<NNNNNNNN>-base`` and ``<NNNNNNNN>-delta`` folders, each
-a plain Parquet dataset written by one Spark job. A folder counts only once Spark's commit
-has written ``_SUCCESS``, so a job that dies mid-write leaves the previous state readable
-and is simply retried. The current table is the newest complete base plus every complete
-delta after it:
+Layout per table: ``<root>/<table>/<NNNNNNNN>-<kind>`` folders, each a plain Parquet
+dataset written by one Spark job, optionally partitioned by a bucket column (``<col>=<v>``
+sub-folders). A folder counts only once Spark's commit has written ``_SUCCESS``, so a job
+that dies mid-write leaves the previous state readable and is simply retried.
 
-* ``table`` / ``upsert`` write a new base (never over a folder that is being read);
-* ``append`` writes a delta holding only the new rows, so an append costs the batch, not
-  the table.
+Kinds, applied oldest to newest from the newest complete ``base``:
 
-Reads go back to the files, so every write also cuts the lineage of what follows.
+* ``base``  — the whole table (``table`` materialisation, compaction, big upserts);
+* ``delta`` — rows appended to the buckets it contains (append loads, new hub keys);
+* ``patch`` — replaces the buckets it contains (upserts that touch few buckets), so an
+  upsert rewrites the touched buckets instead of the whole table.
+
+Nothing is ever written over a folder that is being read. Reads go back to the files, so
+every write also cuts the lineage of what follows.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from satlink.session import work_root
 
-_SEG = re.compile(r"^(\d{8})-(base|delta)$")
+_SEG = re.compile(r"^(\d{8})-(base|delta|patch)$")
+_ALL = "*"
 
 
 class VaultStore:
@@ -44,27 +48,55 @@ class VaultStore:
             return []
         out = []
         for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            m = _SEG.match(name)
+            m = _SEG.match(st.getPath().getName())
             if st.isDirectory() and m:
                 done = fs.exists(st.getPath().suffix("/_SUCCESS"))
                 out.append((int(m.group(1)), m.group(2), bool(done)))
         return sorted(out)
 
-    def segments(self, table: str) -> list[str]:
-        """Paths making up the current state of ``table`` (empty when it does not exist)."""
+    def _leaves(self, seg_path: str) -> dict[str, str]:
+        """bucket value -> folder; an unbucketed segment maps ``*`` to itself."""
+        fs, p = self._fs_path(seg_path)
+        leaves = {}
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and "=" in name:
+                leaves[name.split("=", 1)[1]] = f"{seg_path}/{name}"
+        return leaves or {_ALL: seg_path}
+
+    def segments(self, table: str) -> list[tuple[str, str]]:
+        """(kind, path) of the complete segments making up the current state."""
         segs = [s for s in self._list(table) if s[2]]
         base_idx = max((i for i, s in enumerate(segs) if s[1] == "base"), default=None)
         if base_idx is None:
             return []
-        return [f"{self.root}/{table}/{v:08d}-{k}" for v, k, _ in segs[base_idx:]]
+        return [(k, f"{self.root}/{table}/{v:08d}-{k}") for v, k, _ in segs[base_idx:]]
+
+    def paths(self, table: str, buckets: set[str] | None = None) -> list[str]:
+        """Folders holding the current rows (of ``buckets`` only, when given)."""
+        current: dict[str, list[str]] = {}
+        for kind, path in self.segments(table):
+            leaves = self._leaves(path)
+            if kind == "base":
+                current = {b: [p] for b, p in leaves.items()}
+            elif kind == "delta":
+                for b, p in leaves.items():
+                    current.setdefault(b, []).append(p)
+            else:  # patch: its buckets replace what was there
+                for b, p in leaves.items():
+                    current[b] = [p]
+        return [p for b, ps in sorted(current.items())
+                if buckets is None or b in buckets or b == _ALL for p in ps]
+
+    def buckets(self, table: str) -> set[str]:
+        return {b for _, path in self.segments(table) for b in self._leaves(path)} - {_ALL}
 
     def exists(self, table: str) -> bool:
         return bool(self.segments(table))
 
     # -- read / write -----------------------------------------------------------------
-    def read(self, table: str) -> DataFrame | None:
-        paths = self.segments(table)
+    def read(self, table: str, buckets: set[str] | None = None) -> DataFrame | None:
+        paths = self.paths(table, buckets)
         if not paths:
             return None
         return self.spark.read.parquet(*paths)
@@ -74,17 +106,24 @@ class VaultStore:
         v = (segs[-1][0] + 1) if segs else 1
         return f"{self.root}/{table}/{v:08d}-{kind}"
 
-    def write_base(self, df: DataFrame, table: str) -> DataFrame:
-        path = self._next(table, "base")
-        df.write.mode("errorifexists").parquet(path)
+    def _write(self, df: DataFrame, table: str, kind: str, bucket_col: str | None) -> DataFrame:
+        w = df.write.mode("errorifexists")
+        if bucket_col:
+            w = w.partitionBy(bucket_col)
+        w.parquet(self._next(table, kind))
         return self.read(table)
 
-    def write_delta(self, df: DataFrame, table: str) -> DataFrame:
+    def write_base(self, df: DataFrame, table: str, bucket_col: str | None = None) -> DataFrame:
+        return self._write(df, table, "base", bucket_col)
+
+    def write_delta(self, df: DataFrame, table: str, bucket_col: str | None = None) -> DataFrame:
         if not self.exists(table):
-            return self.write_base(df, table)
-        path = self._next(table, "delta")
-        df.write.mode("errorifexists").parquet(path)
-        return self.read(table)
+            return self.write_base(df, table, bucket_col)
+        return self._write(df, table, "delta", bucket_col)
+
+    def write_patch(self, df: DataFrame, table: str, bucket_col: str) -> DataFrame:
+        """Replace every bucket present in ``df`` (``df`` holds their complete new content)."""
+        return self._write(df, table, "patch", bucket_col)
 
     def write_scratch(self, df: DataFrame, table: str, label: str) -> DataFrame:
         """Write an intermediate of a load of ``table`` once and read it back (lineage cut)."""
@@ -101,14 +140,14 @@ class VaultStore:
         fs, p = self._fs_path(f"{self.root}/_markers/{name}")
         return bool(fs.exists(p))
 
-    def compact(self, table: str, files: int | None = None) -> DataFrame | None:
-        """Fold base + deltas into one new base (the old folders stay until vacuumed)."""
+    def compact(self, table: str, bucket_col: str | None = None, files: int | None = None) -> DataFrame | None:
+        """Fold base + deltas + patches into one new base (old folders stay until vacuumed)."""
         df = self.read(table)
         if df is None:
             return None
         if files:
             df = df.coalesce(files)
-        return self.write_base(df, table)
+        return self.write_base(df, table, bucket_col)
 
 
 def materialize(df: DataFrame, name: str, how: str = "view", store: VaultStore | None = None) -> DataFrame:

@@ -42,12 +42,14 @@ class Warehouse:
         out: dict[str, DataFrame] = {}
         for name, (fn, src) in {**V.HUBS, **V.LINKS}.items():
             if src in stg:
-                # Hubs and links are full rebuilds over the union of what was loaded before.
+                # Hubs and links only grow: keys not seen before are appended as a delta
+                # (the first load_dt of a key is kept), so a load costs the batch's keys.
                 new = fn(stg[src], load_dt)
                 old = self.store.read(name)
                 if old is not None:
-                    new = _merge_keys(old, new)
-                out[name] = self.store.write_base(new, name)
+                    key = new.columns[0]
+                    new = new.join(old.select(key), key, "left_anti")
+                out[name] = self.store.write_delta(new, name)
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
@@ -80,9 +82,3 @@ class Warehouse:
         names = list(V.HUBS) + list(V.LINKS) + list(V.SATELLITES)
         t = {n: df for n in names if (df := self.store.read(n)) is not None}
         return C.run_checks(C.vault_checks(t))
-
-
-def _merge_keys(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Keep existing hub/link rows (and their first load_dt); add keys not seen before."""
-    key = old.columns[0]
-    return old.unionByName(new.join(old.select(key), key, "left_anti"))

@@ -16,7 +16,7 @@ def test_base_delta_and_incomplete_segments(spark):
     # A new base hides older segments; the next version number skips the broken one.
     store.write_base(spark.range(7, 8), "t")
     assert [r.id for r in store.read("t").collect()] == [7]
-    assert store.segments("t")[-1].endswith("00000100-base")
+    assert store.segments("t")[-1][1].endswith("00000100-base")
     store.compact("t")
     assert [r.id for r in store.read("t").collect()] == [7]
 
@@ -26,3 +26,16 @@ def test_markers(spark):
     assert not store.marked("x/1")
     store.mark("x/1")
     assert store.marked("x/1")
+
+
+def test_patch_replaces_only_its_buckets(spark):
+    from pyspark.sql import functions as F
+    store = VaultStore(spark, run_dir(spark, "test-patch"))
+    base = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "b string, v int")
+    store.write_base(base, "t", "b")
+    store.write_delta(spark.createDataFrame([("b", 4)], "b string, v int"), "t", "b")
+    store.write_patch(spark.createDataFrame([("a", 9)], "b string, v int"), "t", "b")
+    assert sorted(r.v for r in store.read("t").collect()) == [3, 4, 9]
+    assert sorted(r.v for r in store.read("t", {"b"}).collect()) == [3, 4]
+    assert store.buckets("t") == {"a", "b"}
+    assert "b" not in store.read("t").columns and F is not None

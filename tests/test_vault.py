@@ -107,3 +107,17 @@ def test_upsert_collision_as_coded(spark):
 def test_location_key_uses_sql_number_text(spark):
     hub = V.hub_location(_weather(spark, [(-26.2, 28.0, "t", 1.0, 1.0), (58801927.0, 0.0001, "t", 1.0, 1.0)]), T1)
     assert sorted(r.location_bkey for r in hub.collect()) == ["-26.2|28.0", "58801927.0|0.0001"]
+
+
+def test_upsert_patches_touched_buckets_only(spark):
+    store = VaultStore(spark, run_dir(spark, "test-upsert-patch"))
+    rows_ = [(float(i), 0.0, "t0", 1.0, 1.0) for i in range(300)]
+    load_satellite(V.sat_weather_hourly(_weather(spark, rows_), T1), store, "w", "upsert")
+    n_buckets = len(store.buckets("w"))
+    assert n_buckets == 16
+    load_satellite(V.sat_weather_hourly(_weather(spark, [(5.0, 0.0, "t0", 2.0, 1.0)]), T2), store, "w", "upsert")
+    kinds = [k for k, _ in store.segments("w")]
+    assert kinds == ["base", "patch"]
+    got = store.read("w")
+    assert got.count() == 300
+    assert got.filter("temperature_2m = 2.0").count() == 1
