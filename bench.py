@@ -53,8 +53,10 @@ def main() -> None:
     qs = queries()
     out: dict[str, float] = {}
     for name in names:
-        run_once(spark, qs[name], sf_dir)
-        out[name] = round(statistics.median(run_once(spark, qs[name], sf_dir) for _ in range(repeat)), 3)
+        warm = run_once(spark, qs[name], sf_dir)
+        runs = [run_once(spark, qs[name], sf_dir) for _ in range(repeat)]
+        print(f"{name}: warm-up {warm:.2f}s, runs {[round(r, 2) for r in runs]}", file=sys.stderr, flush=True)
+        out[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(out.values()), 3), "unit": "sec",
                       "queries": out, "sf": sf, "cpus": int(cpus), "repeat": repeat}))

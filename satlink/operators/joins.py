@@ -8,8 +8,10 @@
   union over NULL patterns of plain equi anti-joins.
 
 Both can first shrink the right side to the keys that the left side actually has
-(``reduce_right``): ``right LEFT SEMI left_keys`` keeps the (usually small) left keys as the
-build side, so AQE can broadcast them and stream the big right side without shuffling it.
+(``small_left=True``): ``right LEFT SEMI broadcast(left_keys)`` streams the big right side
+past a hash table of the left keys, so it is never shuffled. Only pass it when the left side
+has a measured size bound (a load measures its written batch); otherwise both sides are
+shuffled once, which is what a big batch needs anyway.
 """
 
 from __future__ import annotations
@@ -31,21 +33,21 @@ def _subsets(items: list[str]):
 
 
 def _probe(right: DataFrame, left: DataFrame, on: list[str]) -> DataFrame:
-    """Right rows whose key also occurs on the left (left keys are the build side)."""
-    return right.join(left.select(*on), on, "left_semi")
+    """Right rows whose key also occurs on the (size-checked, broadcast) left side."""
+    return right.join(F.broadcast(left.select(*on)), on, "left_semi")
 
 
-def anti_join(left: DataFrame, right: DataFrame, on: list[str], reduce_right: bool = True) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on: list[str], small_left: bool = False) -> DataFrame:
     """Left rows with no right row equal on all ``on`` columns (NOT EXISTS semantics)."""
     r = right.select(*on)
-    if reduce_right:
+    if small_left:
         r = _probe(r, left, on)
     return left.join(r, on, "left_anti")
 
 
 def null_aware_anti_join(left: DataFrame, right: DataFrame, on: list[str],
                          non_null: tuple[str, ...] | list[str] = (),
-                         reduce_right: bool = True) -> DataFrame:
+                         small_left: bool = False) -> DataFrame:
     """Left rows for which ``(on...) NOT IN (select on... from right)`` is TRUE.
 
     A left row survives iff every right row differs from it in some column where both are
@@ -69,7 +71,7 @@ def null_aware_anti_join(left: DataFrame, right: DataFrame, on: list[str],
             rt = r_all.filter(_all([F.col(c).isNull() for c in wild] + [F.col(c).isNotNull() for c in t]))
             if t:
                 rt = rt.select(*t)
-                if reduce_right:
+                if small_left:
                     rt = _probe(rt, lq, t)
                 lq = lq.join(rt, t, "left_anti")
             else:

@@ -131,6 +131,14 @@ class VaultStore:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def size_bytes(self, df: DataFrame) -> int:
+        """Bytes on disk of the files behind a DataFrame read from the store."""
+        total = 0
+        for f in df.inputFiles():
+            fs, p = self._fs_path(f)
+            total += fs.getFileStatus(p).getLen()
+        return total
+
     def mark(self, name: str) -> None:
         """Record that a unit of work (e.g. a stream micro-batch) has been committed."""
         fs, p = self._fs_path(f"{self.root}/_markers/{name}")
