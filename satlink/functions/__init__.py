@@ -17,6 +17,7 @@ from satlink.functions.text import (  # noqa: F401
     double_text,
     epoch_millis,
     iso_text,
+    ntz_text,
     try_bigint,
     try_double,
     try_int,

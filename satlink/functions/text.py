@@ -96,9 +96,41 @@ def url_encode_query(c: Column | str) -> Column:
     return F.replace(e, F.lit("%7E"), F.lit("~"))
 
 
+# Field -> (start, length) in the text of a TIMESTAMP_NTZ, "yyyy-MM-dd HH:mm:ss[.ffffff]".
+_NTZ_FIELDS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+
+
+def ntz_text(c: Column | str, pattern: str) -> Column:
+    """Format a zone-less timestamp without going through the session time zone.
+
+    ``pattern`` uses ``yyyy MM dd HH mm ss`` and literal characters (``'T'`` quoting is
+    accepted). The fields are cut from the timestamp's own text, so a wall-clock time in a
+    daylight-saving gap of the session zone is rendered as it is, not shifted.
+    """
+    s = _col(c).cast("timestamp_ntz").cast("string")
+    parts: list[Column] = []
+    i, lit = 0, ""
+    pat = pattern.replace("'", "")
+    while i < len(pat):
+        tok = next((t for t in _NTZ_FIELDS if pat.startswith(t, i)), None)
+        if tok:
+            if lit:
+                parts.append(F.lit(lit))
+                lit = ""
+            start, n = _NTZ_FIELDS[tok]
+            parts.append(F.substring(s, start, n))
+            i += len(tok)
+        else:
+            lit += pat[i]
+            i += 1
+    if lit:
+        parts.append(F.lit(lit))
+    return F.concat(*parts)
+
+
 def utc_stamp(c: Column | str) -> Column:
-    """``yyyyMMddTHHmmssZ`` text of a timestamp (taken as UTC)."""
-    return F.date_format(_col(c), "yyyyMMdd'T'HHmmss'Z'")
+    """``yyyyMMddTHHmmssZ`` text of a timestamp taken as UTC wall-clock time."""
+    return ntz_text(c, "yyyyMMdd'T'HHmmss'Z'")
 
 
 def epoch_millis(c: Column | str) -> Column:
@@ -112,5 +144,5 @@ def epoch_millis(c: Column | str) -> Column:
 
 
 def iso_text(c: Column | str, fmt: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:
-    """Timestamp to text with one explicit pattern."""
-    return F.date_format(_col(c), fmt)
+    """Zone-less timestamp to text with one explicit pattern (see ``ntz_text``)."""
+    return ntz_text(c, fmt)

@@ -234,7 +234,7 @@ def q_pit_as_of(spark, sf_dir):
     o = Tables(spark, sf_dir)["orders"]
     df = PIT.pit_as_of(o, ["o_custkey"], "o_orderdate", ["o_orderkey", "o_totalprice", "o_orderstatus"],
                        O.AS_OF_DATES, order=["o_orderdate", "o_orderkey"])
-    return df.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    return df.withColumn("snapshot_date", T.ntz_text("snapshot_date", "yyyy-MM-dd"))
 
 
 def q_pit_weather_day(spark, sf_dir):
@@ -322,7 +322,7 @@ def q_dq_freshness(spark, sf_dir):
              C.freshness(t["orders"], "o_orderdate", O.FRESHNESS_NOW, 86400, 7 * 86400, "orders"),
              C.freshness(t["lineitem"], "l_shipdate", O.FRESHNESS_NOW, 86400, 7 * 86400, "lineitem")]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("source", F.date_format("newest", "yyyy-MM-dd HH:mm:ss").alias("newest"), "age_s", "status")
+    return out.select("source", T.ntz_text("newest", "yyyy-MM-dd HH:mm:ss").alias("newest"), "age_s", "status")
 
 
 def _segment_null(c):
@@ -367,7 +367,7 @@ def q_scalar_functions(spark, sf_dir):
         T.try_int(txt).alias("value_int"),
         T.try_double(txt).alias("value_double"),
         T.try_int(F.col("props")).alias("props_int"),
-        F.substring(F.date_format("ts", "yyyyMMddHH"), 1, 8).alias("day8"),
+        F.substring(T.ntz_text("ts", "yyyyMMddHH"), 1, 8).alias("day8"),
         T.url_encode_segment(name).alias("article_enc"),
         PIT.quake_day(T.epoch_millis("ts")).alias("day"),
         T.utc_stamp("ts").alias("stamp"),
@@ -385,7 +385,7 @@ def request_tables(t: Tables) -> dict[str, DataFrame]:
         "openmeteo": li.select((F.col("l_suppkey") / 10.0).alias("lat"), (F.col("l_linenumber") / 10.0).alias("lon")).distinct(),
         "wikimedia": ev.groupBy(F.col("event_type").alias("project"),
                                 F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("article"))
-        .agg(F.date_format(F.min("ts"), "yyyyMMdd").alias("start"), F.date_format(F.max("ts"), "yyyyMMdd").alias("end"))
+        .agg(T.ntz_text(F.min("ts"), "yyyyMMdd").alias("start"), T.ntz_text(F.max("ts"), "yyyyMMdd").alias("end"))
         .select("project", "article", F.lit(S.WIKI_ACCESS).alias("access"), F.lit(S.WIKI_AGENT).alias("agent"),
                 F.lit(S.WIKI_GRANULARITY).alias("granularity"), "start", "end"),
         "github": t["orders"].select(F.lit("orders").alias("owner"), F.col("o_orderpriority").alias("repo"),
@@ -401,7 +401,7 @@ def request_tables(t: Tables) -> dict[str, DataFrame]:
 
 def q_request_plan(spark, sf_dir):
     reqs = request_tables(Tables(spark, sf_dir))
-    parts = [L.plan_requests(df, src, F.lit(LOAD_DT_1).cast("timestamp")) for src, df in reqs.items()]
+    parts = [L.plan_requests(df, src, F.lit(LOAD_DT_1).cast("timestamp_ntz")) for src, df in reqs.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -410,7 +410,7 @@ def q_request_plan(spark, sf_dir):
 
 def q_landing_keys(spark, sf_dir):
     reqs = request_tables(Tables(spark, sf_dir))
-    parts = [L.plan_requests(df, src, F.lit(LOAD_DT_1).cast("timestamp")) for src, df in reqs.items()]
+    parts = [L.plan_requests(df, src, F.lit(LOAD_DT_1).cast("timestamp_ntz")) for src, df in reqs.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

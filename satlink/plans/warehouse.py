@@ -1,8 +1,8 @@
 """The build in dependency order: payloads -> staging -> hubs, links, satellites -> PIT -> marts.
 
 ``Warehouse`` is what a user runs: ``build()`` loads one batch of payloads per source into
-the store (hubs/links/PITs rebuilt as tables, satellites loaded incrementally), and
-``run_checks()`` evaluates the data tests on what was built. Staging of each source is
+the store (new hub and link keys appended, satellites loaded incrementally, PITs rebuilt
+as tables), and ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
 flattened once per build and written as Parquet (compacted), so hubs, links and
 satellites fan out from files instead of re-parsing every payload three times.
 """

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlink.functions.text import double_text, epoch_millis, iso_text
+from satlink.functions.text import double_text, epoch_millis, iso_text, ntz_text
 
 PAGE_ROWS = 1000
 
@@ -38,7 +38,7 @@ def wikimedia_items(events: DataFrame) -> DataFrame:
         F.lit(WIKI_GRANULARITY).alias("granularity"),
         F.lit(WIKI_ACCESS).alias("access"),
         F.lit(WIKI_AGENT).alias("agent"),
-        F.date_format("ts", "yyyyMMddHH").alias("timestamp"),
+        ntz_text("ts", "yyyyMMddHH").alias("timestamp"),
         F.floor("value").cast("bigint").alias("views"),
     )
 
@@ -104,7 +104,7 @@ def openmeteo_payloads(lineitem: DataFrame) -> DataFrame:
     """
     rows = lineitem.select(
         "l_suppkey", "l_linenumber", _page("l_orderkey"),
-        F.struct(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        F.struct(ntz_text("l_shipdate", "yyyy-MM-dd'T'HH:mm").alias("time"),
                  F.col("l_quantity").alias("t"), F.col("l_discount").alias("rh")).alias("h"),
     )
     g = rows.groupBy("l_suppkey", "l_linenumber", "page").agg(F.array_sort(F.collect_list("h")).alias("hs"))

@@ -58,3 +58,14 @@ def test_url_encoding_equals_python_quote(spark):
 def test_utc_stamp(spark):
     df = spark.createDataFrame([("2025-01-02 03:04:05",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     assert df.select(utc_stamp("t")).first()[0] == "20250102T030405Z"
+
+
+def test_ntz_text_ignores_session_zone(spark):
+    from satlink.functions import ntz_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        assert df.select(ntz_text("t", "yyyyMMddHH"), utc_stamp("t")).first() == ("2024031002", "20240310T023000Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
