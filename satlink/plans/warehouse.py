@@ -22,11 +22,15 @@ from satlink.plans.store import VaultStore
 
 class Warehouse:
     def __init__(self, spark: SparkSession, store: VaultStore | None = None,
-                 sat_modes: dict[str, str] | None = None, **sat_options):
+                 sat_modes: dict[str, str] | None = None, load_options: dict | None = None, **sat_options):
+        """``sat_modes``: satellite -> "append" | "upsert" (defaults as configured);
+        ``load_options``: passed to ``load_satellite`` (compare, on_collision, bucket_chars);
+        ``sat_options``: passed to the satellite builders (reject_null_keys, dedupe)."""
         self.spark = spark
         self.store = store or VaultStore(spark)
         self.sat_modes = {k: m for k, (_, _, m) in V.SATELLITES.items()}
         self.sat_modes.update(sat_modes or {})
+        self.load_options = dict(load_options or {})
         self.sat_options = sat_options
 
     def stage(self, source: str, payloads: DataFrame, persist: bool = True) -> DataFrame:
@@ -53,7 +57,7 @@ class Warehouse:
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
-                out[name] = load_satellite(batch, self.store, name, self.sat_modes[name])
+                out[name] = load_satellite(batch, self.store, name, self.sat_modes[name], **self.load_options)
         if "sat_article_views" in out:
             out["pit_article_day"] = self.store.write_base(PIT.pit_article_day(out["sat_article_views"]), "pit_article_day")
         if "sat_country_indicator_values" in out:

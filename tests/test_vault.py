@@ -121,3 +121,23 @@ def test_upsert_patches_touched_buckets_only(spark):
     got = store.read("w")
     assert got.count() == 300
     assert got.filter("temperature_2m = 2.0").count() == 1
+
+
+def test_append_compare_latest_stores_return_to_old_value(spark):
+    store = VaultStore(spark, run_dir(spark, "test-latest"))
+    a = ("en", "A", "d", "all", "all", "2025010100", 10)
+    b = ("en", "A", "d", "all", "all", "2025010100", 11)
+    for rows_, ts in (([a], T1), ([b], T2), ([a], T3)):
+        load_satellite(V.sat_article_views(stg_wiki(spark, rows_), ts), store, "sat", "append", compare="latest")
+    assert sorted(r.views for r in store.read("sat").collect()) == [10, 10, 11]
+
+
+def test_upsert_keep_batch_makes_collision_replay_safe(spark):
+    store = VaultStore(spark, run_dir(spark, "test-keep"))
+    a = (1.0, 2.0, "t0", 10.0, 50.0)
+    b = (1.0, 2.0, "t0", 11.0, 50.0)
+    load_satellite(V.sat_weather_hourly(_weather(spark, [a]), T1), store, "w", "upsert", on_collision="keep_batch")
+    load_satellite(V.sat_weather_hourly(_weather(spark, [a, b]), T2), store, "w", "upsert", on_collision="keep_batch")
+    assert sorted(r.temperature_2m for r in store.read("w").collect()) == [10.0, 11.0]
+    load_satellite(V.sat_weather_hourly(_weather(spark, [a, b]), T3), store, "w", "upsert", on_collision="keep_batch")
+    assert sorted(r.temperature_2m for r in store.read("w").collect()) == [10.0, 11.0]
