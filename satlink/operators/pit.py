@@ -29,6 +29,17 @@ def pit_country_indicator_year(sat_country_indicator_values: DataFrame) -> DataF
             .agg(F.max("value").alias("value_year")))
 
 
+def merge_pit(old: DataFrame, delta: DataFrame, keys: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    """Fold a PIT computed over newly inserted rows into the stored PIT.
+
+    ``measures``: column -> ``"sum"`` or ``"max"`` (mergeable aggregates). Costs the PIT plus
+    the delta, not the satellite.
+    """
+    fn = {"sum": F.sum, "max": F.max}
+    both = old.select(*keys, *measures).unionByName(delta.select(*keys, *measures))
+    return both.groupBy(*keys).agg(*[fn[m](c).alias(c) for c, m in measures.items()])
+
+
 def pit_latest(sat: DataFrame, keys: Sequence[str], attrs: Sequence[str],
                order: Sequence[str] = ("load_dt", "hd_attributes")) -> DataFrame:
     """Newest version per key: ``max_by(attrs, (load_dt, hd_attributes))``."""

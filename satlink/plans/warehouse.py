@@ -1,8 +1,9 @@
 """The build in dependency order: payloads -> staging -> hubs, links, satellites -> PIT -> marts.
 
 ``Warehouse`` is what a user runs: ``build()`` loads one batch of payloads per source into
-the store (new hub and link keys appended, satellites loaded incrementally, PITs rebuilt
-as tables), and ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
+the store (new hub and link keys appended, satellites loaded incrementally, PITs merged
+with the aggregate of the inserted rows — sum and max are mergeable — or rebuilt after an
+upsert), and ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
 flattened once per build and written as Parquet (compacted), so hubs, links and
 satellites fan out from files instead of re-parsing every payload three times.
 """
@@ -16,10 +17,19 @@ from satlink.operators import marts as M
 from satlink.operators import pit as PIT
 from satlink.operators import vault as V
 from satlink.operators.flatten import FLATTENERS
-from satlink.operators.load import load_satellite
+from satlink.operators.load import load_satellite_delta
 from satlink.plans.store import VaultStore
 
 
+# PIT name -> (satellite, builder, keys, mergeable measures).
+PITS = {
+    "pit_article_day": ("sat_article_views", PIT.pit_article_day,
+                        ["hk_article", "project_id", "yyyymmdd"], {"views_day": "sum"}),
+    "pit_country_indicator_year": ("sat_country_indicator_values", PIT.pit_country_indicator_year,
+                                   ["hk_country", "hk_indicator", "year"], {"value_year": "max"}),
+}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, store: VaultStore | None = None,
                  sat_modes: dict[str, str] | None = None, load_options: dict | None = None, **sat_options):
@@ -54,17 +64,25 @@ class Warehouse:
                     key = new.columns[0]
                     new = new.join(old.select(key), key, "left_anti")
                 out[name] = self.store.write_delta(new, name)
+        inserted: dict[str, tuple[DataFrame | None, bool]] = {}
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
-                out[name] = load_satellite(batch, self.store, name, self.sat_modes[name], **self.load_options)
-        if "sat_article_views" in out:
-            out["pit_article_day"] = self.store.write_base(PIT.pit_article_day(out["sat_article_views"]), "pit_article_day")
-        if "sat_country_indicator_values" in out:
-            out["pit_country_indicator_year"] = self.store.write_base(
-                PIT.pit_country_indicator_year(out["sat_country_indicator_values"]), "pit_country_indicator_year")
+                out[name], new, replaced = load_satellite_delta(batch, self.store, name, self.sat_modes[name],
+                                                                **self.load_options)
+                inserted[name] = (new, replaced)
+        for pit_name, (sat, fn, keys, measures) in PITS.items():
+            if sat in out:
+                out[pit_name] = self._refresh_pit(pit_name, out[sat], *inserted[sat], fn, keys, measures)
         return out
 
+    def _refresh_pit(self, name, sat, new, replaced, fn, keys, measures) -> DataFrame:
+        """Merge the PIT of the inserted rows when rows were only added; else rebuild."""
+        old = self.store.read(name)
+        if old is None or replaced or new is None:
+            return self.store.write_base(fn(sat), name)
+        return self.store.write_base(PIT.merge_pit(old, fn(new), keys, measures), name)
+
     def table(self, name: str) -> DataFrame | None:
         return self.store.read(name)
 

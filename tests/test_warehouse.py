@@ -23,3 +23,15 @@ def test_two_batch_build_checks_and_marts(spark):
     assert marts["population_by_country_year"].count() > 0
     hub = wh.table("hub_article")
     assert hub.count() == hub.select(F.upper(F.trim("article_bkey"))).distinct().count()
+
+
+def test_incremental_pit_equals_rebuild(spark):
+    from satlink.operators import pit as PIT
+    from conftest import rows
+    t = Tables(spark, SMALL)
+    wh = Warehouse(spark, VaultStore(spark, run_dir(spark, "test-pit-merge")))
+    for b, ts in ((1, "2025-01-01 00:00:00"), (2, "2025-01-02 00:00:00")):
+        wh.build({s: S.SHAPERS[s](source_batch(t, s, b)) for s in ("wikimedia", "worldbank")}, ts)
+    assert rows(wh.table("pit_article_day")) == rows(PIT.pit_article_day(wh.table("sat_article_views")))
+    assert rows(wh.table("pit_country_indicator_year")) == rows(
+        PIT.pit_country_indicator_year(wh.table("sat_country_indicator_values")))
