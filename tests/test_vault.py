@@ -141,3 +141,10 @@ def test_upsert_keep_batch_makes_collision_replay_safe(spark):
     assert sorted(r.temperature_2m for r in store.read("w").collect()) == [10.0, 11.0]
     load_satellite(V.sat_weather_hourly(_weather(spark, [a, b]), T3), store, "w", "upsert", on_collision="keep_batch")
     assert sorted(r.temperature_2m for r in store.read("w").collect()) == [10.0, 11.0]
+
+
+def test_bucket_width_from_size():
+    from satlink.operators.load import choose_bucket_chars
+    assert choose_bucket_chars(10 << 20) == 1
+    assert choose_bucket_chars(100 << 30) == 3
+    assert choose_bucket_chars(100 << 40) == 4
