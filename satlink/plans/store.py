@@ -148,14 +148,33 @@ class VaultStore:
         fs, p = self._fs_path(f"{self.root}/_markers/{name}")
         return bool(fs.exists(p))
 
-    def compact(self, table: str, bucket_col: str | None = None, files: int | None = None) -> DataFrame | None:
-        """Fold base + deltas + patches into one new base (old folders stay until vacuumed)."""
+    def bucket_column(self, table: str) -> str | None:
+        """Name of the bucket column of a bucketed table (from its folder names)."""
+        for _, path in self.segments(table):
+            fs, p = self._fs_path(path)
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if st.isDirectory() and "=" in name:
+                    return name.split("=", 1)[0]
+        return None
+
+    def compact(self, table: str, bucket_expr=None, files: int | None = None) -> DataFrame | None:
+        """Fold base + deltas + patches into one new base (old folders stay until vacuumed).
+
+        A bucketed table stays bucketed: ``bucket_expr`` recomputes the bucket column (it is
+        not stored in the files), e.g. ``load.bucket_of(chars=...)``.
+        """
         df = self.read(table)
         if df is None:
             return None
-        if files:
+        col = self.bucket_column(table)
+        if col and bucket_expr is None:
+            raise ValueError(f"{table} is bucketed by {col}: pass bucket_expr")
+        if col:
+            df = df.withColumn(col, bucket_expr).hint("rebalance", col)
+        elif files:
             df = df.coalesce(files)
-        return self.write_base(df, table, bucket_col)
+        return self.write_base(df, table, col)
 
 
 def materialize(df: DataFrame, name: str, how: str = "view", store: VaultStore | None = None) -> DataFrame:

@@ -21,6 +21,17 @@ def test_base_delta_and_incomplete_segments(spark):
     assert [r.id for r in store.read("t").collect()] == [7]
 
 
+def test_compact_keeps_buckets(spark):
+    from pyspark.sql import functions as F
+    store = VaultStore(spark, run_dir(spark, "test-compact"))
+    df = spark.createDataFrame([("ab", 1), ("cd", 2)], "k string, v int").withColumn("b", F.substring("k", 1, 1))
+    store.write_base(df, "t", "b")
+    store.write_delta(spark.createDataFrame([("ax", 3)], "k string, v int").withColumn("b", F.substring("k", 1, 1)), "t", "b")
+    store.compact("t", F.substring("k", 1, 1))
+    assert [k for k, _ in store.segments("t")] == ["base"] and store.buckets("t") == {"a", "c"}
+    assert sorted(r.v for r in store.read("t", {"a"}).collect()) == [1, 3]
+
+
 def test_markers(spark):
     store = VaultStore(spark, run_dir(spark, "test-markers"))
     assert not store.marked("x/1")
