@@ -42,13 +42,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def work_root(spark: SparkSession) -> str:
     """Shared folder for everything the library writes.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); when neither is set
-    (single-machine tests) a fresh folder is made and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); when neither is set,
+    a local-mode session (tests) gets a fresh folder registered as the checkpoint dir, and
+    a cluster session is refused rather than handed a machine-local folder.
     """
     root = spark.conf.get(_CKPT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is invisible to other executors: refuse on a cluster.
+            raise RuntimeError(f"set {_CKPT_KEY} to a shared folder (HDFS, S3, ...) for this cluster")
         root = tempfile.mkdtemp(prefix="satlink-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)
