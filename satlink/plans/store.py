@@ -13,7 +13,8 @@ Kinds, applied oldest to newest from the newest complete ``base``:
   upsert rewrites the touched buckets instead of the whole table.
 
 Nothing is ever written over a folder that is being read. Reads go back to the files, so
-every write also cuts the lineage of what follows.
+every write also cuts the lineage of what follows. ``vacuum`` drops segments that only
+older bases needed.
 """
 
 from __future__ import annotations
@@ -148,6 +149,27 @@ class VaultStore:
         fs, p = self._fs_path(f"{self.root}/_markers/{name}")
         return bool(fs.exists(p))
 
+    def vacuum(self, table: str, keep_bases: int = 2) -> list[str]:
+        """Delete segments older than the ``keep_bases``-th newest complete base.
+
+        Those folders are no longer part of any kept state (readers of the current state
+        never list them). Incomplete folders newer than that point are left alone: they may
+        belong to a write that is still running. Returns the deleted paths.
+        """
+        segs = self._list(table)
+        bases = [v for v, k, done in segs if k == "base" and done]
+        if len(bases) < keep_bases:
+            return []
+        cutoff = sorted(bases)[-keep_bases]
+        gone = []
+        for v, k, _ in segs:
+            if v < cutoff:
+                path = f"{self.root}/{table}/{v:08d}-{k}"
+                fs, p = self._fs_path(path)
+                fs.delete(p, True)
+                gone.append(path)
+        return gone
+
     def bucket_column(self, table: str) -> str | None:
         """Name of the bucket column of a bucketed table (from its folder names)."""
         for _, path in self.segments(table):

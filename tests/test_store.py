@@ -50,3 +50,15 @@ def test_patch_replaces_only_its_buckets(spark):
     assert sorted(r.v for r in store.read("t", {"b"}).collect()) == [3, 4]
     assert store.buckets("t") == {"a", "b"}
     assert "b" not in store.read("t").columns and F is not None
+
+
+def test_vacuum_drops_only_superseded_segments(spark):
+    store = VaultStore(spark, run_dir(spark, "test-vacuum"))
+    store.write_base(spark.range(1), "t")
+    store.write_delta(spark.range(1, 2), "t")
+    store.write_base(spark.range(5, 6), "t")
+    store.write_delta(spark.range(6, 7), "t")
+    assert store.vacuum("t", keep_bases=2) == []
+    gone = store.vacuum("t", keep_bases=1)
+    assert len(gone) == 2 and all(g.endswith(("00000001-base", "00000002-delta")) for g in gone)
+    assert sorted(r.id for r in store.read("t").collect()) == [5, 6]
