@@ -13,7 +13,6 @@ _PLAIN_HIGH = 1e16
 _JAVA_PLAIN_LOW = 1e-3
 _JAVA_PLAIN_HIGH = 1e7
 
-_NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SPECIAL_DOUBLES = ["nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
 
@@ -49,10 +48,16 @@ def double_text(c: Column | str) -> Column:
 
 
 def try_double(c: Column | str) -> Column:
-    """Text to double, NULL when not a number; rejects Java suffixes such as ``1d``/``2f``."""
-    t = _col(c).cast("string")
-    ok = t.rlike(_NUMBER_TEXT) | F.lower(F.trim(t)).isin(_SPECIAL_DOUBLES)
-    return F.when(ok, (F.trim(t)).try_cast("double"))
+    """Text to double, NULL when not a number.
+
+    Spark's cast also takes Java-only spellings (``1d``, ``2f``, hex ``0x1p3``); any text
+    holding ``d``, ``f`` or ``x`` is rejected unless it is a NaN / infinity spelling.
+    Plain substring tests, no regex: this runs on every numeric JSON leaf.
+    """
+    t = F.trim(_col(c).cast("string"))
+    low = F.lower(t)
+    java_only = low.contains("d") | low.contains("f") | low.contains("x")
+    return F.when(low.isin(_SPECIAL_DOUBLES) | ~java_only, t.try_cast("double"))
 
 
 def _try_integral(c: Column | str, target: str) -> Column:
