@@ -318,9 +318,8 @@ def q_dq_singular(spark, sf_dir):
 
 def q_dq_freshness(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    parts = [C.freshness(t["events"], "ts", O.FRESHNESS_NOW, 86400, 7 * 86400, "events"),
-             C.freshness(t["orders"], "o_orderdate", O.FRESHNESS_NOW, 86400, 7 * 86400, "orders"),
-             C.freshness(t["lineitem"], "l_shipdate", O.FRESHNESS_NOW, 86400, 7 * 86400, "lineitem")]
+    parts = [C.freshness(t[name], col, O.FRESHNESS_NOW, O.FRESH_WARN_S, O.FRESH_ERROR_S, name)
+             for name, col in (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return out.select("source", T.ntz_text("newest", "yyyy-MM-dd HH:mm:ss").alias("newest"), "age_s", "status")
 
