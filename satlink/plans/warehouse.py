@@ -17,7 +17,8 @@ from satlink.operators import marts as M
 from satlink.operators import pit as PIT
 from satlink.operators import vault as V
 from satlink.operators.flatten import FLATTENERS
-from satlink.operators.load import load_satellite_delta
+from satlink.operators.joins import anti_join
+from satlink.operators.load import broadcast_limit, load_satellite_delta
 from satlink.plans.store import VaultStore
 
 
@@ -61,8 +62,11 @@ class Warehouse:
                 new = fn(stg[src], load_dt)
                 old = self.store.read(name)
                 if old is not None:
-                    key = new.columns[0]
-                    new = new.join(old.select(key), key, "left_anti")
+                    # The batch's keys are written once and measured: when small they are
+                    # broadcast and the hub streams past them without a shuffle.
+                    new = self.store.write_scratch(new, name, "keys")
+                    small = self.store.size_bytes(new) <= broadcast_limit(self.spark)
+                    new = anti_join(new, old, [new.columns[0]], small_left=small)
                 out[name] = self.store.write_delta(new, name)
         inserted: dict[str, tuple[DataFrame | None, bool]] = {}
         for name, (fn, src, _) in V.SATELLITES.items():
