@@ -37,3 +37,15 @@ def population_by_country_year(hub_country: DataFrame, hub_indicator: DataFrame,
     c = hub_country.select("hk_country", F.col("country_bkey").alias("iso3"))
     return (y.join(ind, "hk_indicator").join(c, "hk_country")
             .select("iso3", "indicator", "year", "value_year"))
+
+
+def weather_daily(hub_location: DataFrame, pit_weather_day: DataFrame) -> DataFrame:
+    """Daily temperature / humidity statistics per location key (``LAT|LON``)."""
+    return (pit_weather_day.join(hub_location.select("hk_location", F.col("location_bkey").alias("location")),
+                                 "hk_location").drop("hk_location"))
+
+
+def air_quality(hub_sensor: DataFrame, pit_sensor: DataFrame) -> DataFrame:
+    """Per sensor, parameter and period: min / avg / max value."""
+    return (pit_sensor.join(hub_sensor.select("hk_sensor", F.col("sensor_bkey").alias("sensor")), "hk_sensor")
+            .drop("hk_sensor"))

@@ -31,6 +31,15 @@ PITS = {
 }
 
 
+# PITs over upsert satellites: rebuilt after each load (averages are not mergeable).
+REBUILT_PITS = {
+    "pit_weather_day": ("sat_weather_hourly", PIT.pit_weather_day),
+    "pit_sensor_hour": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "hour")),
+    "pit_sensor_day": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "day")),
+    "pit_commit_day": ("sat_commit_meta", PIT.pit_commit_day),
+}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, store: VaultStore | None = None,
                  sat_modes: dict[str, str] | None = None, load_options: dict | None = None, **sat_options):
@@ -78,6 +87,16 @@ class Warehouse:
         for pit_name, (sat, fn, keys, measures) in PITS.items():
             if sat in out:
                 out[pit_name] = self._refresh_pit(pit_name, out[sat], *inserted[sat], fn, keys, measures)
+        for pit_name, (sat, fn) in REBUILT_PITS.items():
+            if sat in out:
+                out[pit_name] = self.store.write_base(fn(out[sat]), pit_name)
+        if "usgs" in stg:
+            # No quake hub or satellite: the daily bins come from staging; count and max merge.
+            delta = PIT.pit_quake_day(stg["usgs"])
+            old = self.store.read("pit_quake_day")
+            if old is not None:
+                delta = PIT.merge_pit(old, delta, ["day"], {"n_quakes": "sum", "max_magnitude": "max"})
+            out["pit_quake_day"] = self.store.write_base(delta, "pit_quake_day")
         return out
 
     def _refresh_pit(self, name, sat, new, replaced, fn, keys, measures) -> DataFrame:
@@ -100,6 +119,18 @@ class Warehouse:
         if all(t[n] is not None for n in ("hub_country", "hub_indicator", "pit_country_indicator_year")):
             out["population_by_country_year"] = M.population_by_country_year(
                 t["hub_country"], t["hub_indicator"], t["pit_country_indicator_year"])
+        extra = {n: self.store.read(n) for n in ("hub_location", "pit_weather_day", "hub_sensor", "pit_sensor_hour",
+                                                 "pit_sensor_day", "pit_quake_day", "pit_commit_day")}
+        if extra["hub_location"] is not None and extra["pit_weather_day"] is not None:
+            out["weather_daily"] = M.weather_daily(extra["hub_location"], extra["pit_weather_day"])
+        for grain in ("hour", "day"):
+            if extra["hub_sensor"] is not None and extra[f"pit_sensor_{grain}"] is not None:
+                out[f"air_quality_{grain}ly".replace("dayly", "daily")] = M.air_quality(
+                    extra["hub_sensor"], extra[f"pit_sensor_{grain}"])
+        if extra["pit_quake_day"] is not None:
+            out["quakes_daily"] = extra["pit_quake_day"]
+        if extra["pit_commit_day"] is not None:
+            out["commits_daily"] = extra["pit_commit_day"]
         for name, df in out.items():
             df.createOrReplaceTempView(name)
         return out
