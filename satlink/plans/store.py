@@ -56,14 +56,19 @@ class VaultStore:
         return sorted(out)
 
     def _leaves(self, seg_path: str) -> dict[str, str]:
-        """bucket value -> folder; an unbucketed segment maps ``*`` to itself."""
+        """bucket value -> folder; an unbucketed segment maps ``*`` to itself, an empty one
+        (a load that inserted nothing) maps nothing."""
         fs, p = self._fs_path(seg_path)
-        leaves = {}
+        leaves, has_files = {}, False
         for st in fs.listStatus(p):
             name = st.getPath().getName()
             if st.isDirectory() and "=" in name:
                 leaves[name.split("=", 1)[1]] = f"{seg_path}/{name}"
-        return leaves or {_ALL: seg_path}
+            elif st.isFile() and not name.startswith(("_", ".")):
+                has_files = True
+        if leaves:
+            return leaves
+        return {_ALL: seg_path} if has_files else {}
 
     def segments(self, table: str) -> list[tuple[str, str]]:
         """(kind, path) of the complete segments making up the current state."""

@@ -81,9 +81,11 @@ class Warehouse:
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
-                out[name], new, replaced = load_satellite_delta(batch, self.store, name, self.sat_modes[name],
-                                                                **self.load_options)
-                inserted[name] = (new, replaced)
+                table, new, replaced = load_satellite_delta(batch, self.store, name, self.sat_modes[name],
+                                                            **self.load_options)
+                if table is not None:
+                    out[name] = table
+                    inserted[name] = (new, replaced)
         for pit_name, (sat, fn, keys, measures) in PITS.items():
             if sat in out:
                 out[pit_name] = self._refresh_pit(pit_name, out[sat], *inserted[sat], fn, keys, measures)

@@ -148,3 +148,20 @@ def test_bucket_width_from_size():
     assert choose_bucket_chars(10 << 20) == 1
     assert choose_bucket_chars(100 << 30) == 3
     assert choose_bucket_chars(100 << 40) == 4
+
+
+def test_empty_loads_and_new_buckets(spark):
+    store = VaultStore(spark, run_dir(spark, "test-empty"))
+    empty = _weather(spark, [])
+    table, _, _ = __import__("satlink.operators.load", fromlist=["x"]).load_satellite_delta(
+        V.sat_weather_hourly(empty, T1), store, "w", "upsert", bucket_chars=2)
+    assert table is None and store.read("w") is None
+    a = (1.0, 2.0, "t0", 10.0, 50.0)
+    load_satellite(V.sat_weather_hourly(_weather(spark, [a]), T1), store, "w", "append", bucket_chars=2)
+    load_satellite(V.sat_weather_hourly(_weather(spark, [a]), T2), store, "w", "append", bucket_chars=2)  # empty delta
+    others = [(float(i), 9.0, "t1", 1.0, 1.0) for i in range(40)]
+    load_satellite(V.sat_weather_hourly(_weather(spark, others), T3), store, "w", "append", bucket_chars=2)
+    assert store.read("w").count() == 41
+    load_satellite(V.sat_weather_hourly(_weather(spark, [(7.0, 7.0, "t9", 1.0, 1.0)]), T3), store, "w", "upsert",
+                   bucket_chars=2)
+    assert store.read("w").count() == 42
