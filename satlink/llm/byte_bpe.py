@@ -169,7 +169,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", di
     With ``digests`` the columns are ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``
     instead: the same real ids and bytes, hashed before they leave the worker.
     """
-    C.small_batches(docs.sparkSession)
+    C.python_tasks(docs.sparkSession)
     added = (
         {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
         if digests

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch; a smaller value set by the user stays."""
+def python_tasks(spark: SparkSession) -> None:
+    """Prepare for Python tasks: executors get this package, Arrow batches a bound.
+
+    A smaller batch size set by the user stays.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_satlink_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="satlink-code-")  # the driver's; Spark serves it to the executors
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = f"{folder}/satlink-{uuid.uuid4().hex[:8]}.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        sc.addPyFile(path)
+        sc._satlink_shipped = True
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > ARROW_ROWS:
@@ -133,3 +152,9 @@ class TwoGenerations(dict):
                 else:
                     out.append(key)
         return out
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a DataFrame (for a table scan: its files), without a job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from satlink.llm import byte_bpe
-from satlink.llm.common import table
+from satlink.llm import byte_bpe, wavelet
+from satlink.llm.common import table, work_dir
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = work_dir(spark, "wavelet")
+    wavelet.write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), 1, path)
+    return wavelet.read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op10_wavelet_shards": op10_wavelet_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {}
