@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, wavelet
+from satlink.llm import byte_bpe, decontaminate, sharding, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -16,6 +17,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op3_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op7_winnow_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_dir(spark, "wavelet")
@@ -25,6 +42,8 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_kk_shards": op3_kk_shards,
+    "op7_winnow_leaks": op7_winnow_leaks,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
 
