@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, sharding, wavelet
+from satlink.llm import byte_bpe, decontaminate, sharding, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -24,6 +24,13 @@ def op3_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.coalesce(~held_out, F.lit(False)))
+    return toxicity.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
 def op7_winnow_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -43,6 +50,7 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_kk_shards": op3_kk_shards,
+    "op4_nnpu_toxicity": op4_nnpu_toxicity,
     "op7_winnow_leaks": op7_winnow_leaks,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
