@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, sharding, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, language, sharding, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -17,6 +17,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = language.fit(docs, F.coalesce(~held_out, F.lit(False)))
+    return language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), network, keep=["doc_id", "held_out"])
+
+
 def op3_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, 24).select(
@@ -49,6 +56,7 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_byte_cnn_language": op2_byte_cnn_language,
     "op3_kk_shards": op3_kk_shards,
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
     "op7_winnow_leaks": op7_winnow_leaks,
