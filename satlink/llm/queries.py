@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, language, sharding, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, language, sharding, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -47,6 +47,14 @@ def op7_winnow_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_dir(spark, "wavelet")
@@ -60,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kk_shards": op3_kk_shards,
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
     "op7_winnow_leaks": op7_winnow_leaks,
+    "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
 
