@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, language, sharding, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, language, licenses, sharding, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -38,6 +38,15 @@ def op4_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op6_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    begin = F.transform("base", lambda h: h["start"].cast("long"))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(begin).alias("first_word"), F.array_max(begin).alias("last_word"),
+        licenses.labels(F.col("base")).alias("base_labels"), licenses.labels(F.concat("base", "found")).alias("labels"), "score",
+    )
+
+
 def op7_winnow_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -67,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_cnn_language": op2_byte_cnn_language,
     "op3_kk_shards": op3_kk_shards,
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
+    "op6_licence_index": op6_licence_index,
     "op7_winnow_leaks": op7_winnow_leaks,
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op10_wavelet_shards": op10_wavelet_shards,
