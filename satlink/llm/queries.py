@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, language, licenses, sharding, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, sharding, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -64,6 +64,10 @@ def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_divideskip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_dir(spark, "wavelet")
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licence_index": op6_licence_index,
     "op7_winnow_leaks": op7_winnow_leaks,
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
+    "op9_divideskip_join": op9_divideskip_join,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
 
