@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, sharding, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, sharding, suffix_dedup, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -38,6 +38,12 @@ def op4_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op5_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, x: acc + (x["end"] - x["start"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     begin = F.transform("base", lambda h: h["start"].cast("long"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_cnn_language": op2_byte_cnn_language,
     "op3_kk_shards": op3_kk_shards,
     "op4_nnpu_toxicity": op4_nnpu_toxicity,
+    "op5_lpf_dedup": op5_lpf_dedup,
     "op6_licence_index": op6_licence_index,
     "op7_winnow_leaks": op7_winnow_leaks,
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
