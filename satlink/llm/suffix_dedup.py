@@ -219,9 +219,11 @@ _FOUND = "id long, crc long, request boolean, key long, common boolean, start in
 _NO_ID = (1 << 63) - 1
 
 
-def _base(docs: DataFrame) -> DataFrame:
-    """(id, crc, text): what tells documents apart, never null, and the text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.coalesce(F.crc32("text"), F.lit(0)).alias("crc"), F.coalesce("text", F.lit("")).alias("text"))
+def _base(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """(id, crc, text, row): what tells documents apart, never null, the text, and a struct of the columns to carry."""
+    row = [F.struct(*[F.col(c) for c in carry]).alias("row")] if carry else []
+    id_, crc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), F.coalesce(F.crc32("text"), F.lit(0))
+    return docs.select(id_.alias("id"), crc.alias("crc"), F.coalesce("text", F.lit("")).alias("text"), *row)
 
 
 def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
@@ -312,7 +314,7 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
         if held:
             yield from bucket(held)
 
-    dealt = base.mapInArrow(deal, "bucket int, spans boolean, data binary")
+    dealt = base.select("id", "crc", "text").mapInArrow(deal, "bucket int, spans boolean, data binary")
     return dealt.repartition("bucket").sortWithinPartitions("bucket", "spans").mapInArrow(compare, _FOUND)
 
 
@@ -383,10 +385,10 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "id long, crc long, start int, end int")
 
 
-def _with_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(id, crc, text, spans): every document with the strings to remove, as an array of (start, end), or null."""
+def _with_spans(docs: DataFrame, length: int, gram: int, carry: list[str]) -> DataFrame:
+    """(id, crc, text, row, starts, ends): every document with its strings to remove, or null."""
     C.python_tasks(docs.sparkSession)
-    base = _base(docs)
+    base = _base(docs, carry)
     buckets = int(min(1 << 20, max(8, 2 * C.plan_bytes(docs) // BUCKET_BYTES)))
     found = C.written(_found(base, buckets, length, gram), "suffix-found")
     more = _factors(_fetched(base, found, length), length)
@@ -411,4 +413,34 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 kept.append(b"".join([data[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(data)])]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pair), pa.array(kept, pa.binary())], names=schema.fieldNames())
 
-    return _with_spans(docs, length, gram).mapInArrow(run, schema)
+    return _with_spans(docs, length, gram, []).mapInArrow(run, schema)
+
+
+def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The documents, all columns, with repeated strings cut out of their texts.
+
+    A character of which only some bytes are left goes too; ``n_chars``, if there, is counted
+    anew. A null text stays null, and a text that is repeated whole becomes empty.
+    """
+    carry = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([T.StructField("row", T.StructType([docs.schema[c] for c in carry])), T.StructField("null_text", T.BooleanType()), T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.merged(batches):
+            out = []
+            for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "ends"))):
+                if starts:
+                    data = text.encode()
+                    s, e = union_spans(np.array(starts, np.int64), np.array(ends, np.int64))
+                    text = b"".join([data[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(data)])]).decode(errors="ignore")
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("null_text"), pa.array(out, pa.string())], names=schema.fieldNames())
+
+    # Whether the text is null travels with the carried columns.
+    marked = docs.withColumn("__null_text", F.col("text").isNull())
+    rows = _with_spans(marked, length, gram, [*carry, "__null_text"]).select(F.struct(*[F.col("row")[c].alias(c) for c in carry]).alias("row"), F.col("row")["__null_text"].alias("null_text"), "text", "starts", "ends")
+    text = F.when(~F.col("null_text"), F.col("text"))
+    columns = {c: F.col("row")[c] for c in carry} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return rows.mapInArrow(run, schema).select(*[columns[c].alias(c) for c in docs.columns])
