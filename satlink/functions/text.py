@@ -81,9 +81,9 @@ def try_bigint(c: Column | str) -> Column:
 
 
 def try_unsigned_bigint(c: Column | str) -> Column:
-    """Unsigned 64-bit semantics kept in a bigint: negatives -> NULL."""
-    v = try_bigint(c)
-    return F.when(v >= 0, v)
+    """Text to an unsigned 64-bit number as DECIMAL(20,0): outside [0, 2^64 - 1] -> NULL."""
+    v = _try_integral(c, "decimal(20,0)")
+    return F.when((v >= 0) & (v <= F.lit("18446744073709551615").cast("decimal(20,0)")), v)
 
 
 def url_encode_segment(c: Column | str) -> Column:

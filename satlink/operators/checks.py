@@ -1,7 +1,7 @@
 """Data-quality checks. Each returns the failing rows as a DataFrame: empty means pass.
 
-``run_checks`` evaluates a list of checks into one summary with a single ``union`` and one
-aggregation, so the whole suite is one Spark job instead of one job per check.
+``run_checks`` evaluates a list of checks into one summary: all not-null checks of a table
+share one scan and one aggregate; uniqueness and relationships have a job part of their own.
 """
 
 from __future__ import annotations
@@ -60,44 +60,74 @@ def freshness(df: DataFrame, ts_col: str, now, warn_after_s: int, error_after_s:
 
 @dataclass(frozen=True)
 class Check:
+    """``failures``: rows that fail; or, for a not-null check, the ``table`` to count them in."""
+
     model: str
     column: str
     test: str
-    failures: DataFrame
+    failures: DataFrame | None = None
+    table: DataFrame | None = None
 
 
 def run_checks(checks: Iterable[Check]) -> DataFrame:
-    """``model, column, test, failures`` for every check, evaluated in one job."""
-    parts = [c.failures.agg(F.count("*").alias("failures"))
-             .select(F.lit(c.model).alias("model"), F.lit(c.column).alias("column"),
-                     F.lit(c.test).alias("test"), "failures") for c in checks]
+    """``model, column, test, failures`` for every check."""
+    by_table: dict[int, list[Check]] = {}
+    parts = []
+    for c in checks:
+        if c.table is not None:
+            by_table.setdefault(id(c.table), []).append(c)
+        else:
+            parts.append(c.failures.agg(F.count("*").alias("failures")).select(
+                F.lit(c.model).alias("model"), F.lit(c.column).alias("column"), F.lit(c.test).alias("test"), "failures"))
+    for group in by_table.values():
+        counts = group[0].table.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"c{i}") for i, c in enumerate(group)])
+        rows = F.array(*[F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column"), F.lit(c.test).alias("test"),
+                                  F.col(f"c{i}").alias("failures")) for i, c in enumerate(group)])
+        parts.append(counts.select(F.inline(rows)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+HUB_NAMES = {"hub_country": "country", "hub_indicator": "indicator", "hub_article": "article",
+             "hub_location": "location", "hub_commit": "commit", "hub_sensor": "sensor"}
+RELATIONSHIPS = [("link_country_indicator", "hk_country", "hub_country"),
+                 ("link_country_indicator", "hk_indicator", "hub_indicator"),
+                 ("link_project_article", "hk_article", "hub_article"),
+                 ("sat_article_views", "hk_article", "hub_article"),
+                 ("sat_country_indicator_values", "hk_country", "hub_country"),
+                 ("sat_country_indicator_values", "hk_indicator", "hub_indicator"),
+                 ("sat_weather_hourly", "hk_location", "hub_location"),
+                 ("sat_commit_meta", "hk_commit", "hub_commit"),
+                 ("sat_sensor_measurements", "hk_sensor", "hub_sensor"),
+                 ("pit_article_day", "hk_article", "hub_article"),
+                 ("pit_country_indicator_year", "hk_country", "hub_country"),
+                 ("pit_country_indicator_year", "hk_indicator", "hub_indicator"),
+                 ("pit_weather_day", "hk_location", "hub_location"),
+                 ("pit_sensor_hour", "hk_sensor", "hub_sensor"),
+                 ("pit_sensor_day", "hk_sensor", "hub_sensor")]
+NOT_NULL = {sat: ("hash_natural_key", "hd_attributes") for sat in (
+    "sat_country_indicator_values", "sat_article_views", "sat_weather_hourly", "sat_commit_meta", "sat_sensor_measurements")}
+NOT_NULL |= {"pit_article_day": ("hk_article", "project_id", "yyyymmdd", "views_day"),
+             "pit_country_indicator_year": ("hk_country", "hk_indicator", "year"),
+             "pit_weather_day": ("hk_location", "day"), "pit_sensor_hour": ("hk_sensor", "parameter", "hour"),
+             "pit_sensor_day": ("hk_sensor", "parameter", "day"), "pit_commit_day": ("day",), "pit_quake_day": ("n_quakes",),
+             "article_traffic_daily": ("article", "project", "yyyymmdd", "views_day"),
+             "population_by_country_year": ("iso3", "indicator", "year"), "weather_daily": ("location", "day"),
+             "air_quality_hourly": ("sensor", "parameter", "hour"), "air_quality_daily": ("sensor", "parameter", "day"),
+             "quakes_daily": ("n_quakes",), "commits_daily": ("day", "n_commits")}
+
+
 def vault_checks(t: dict[str, DataFrame]) -> list[Check]:
-    """The constraint set of the warehouse, plus hubs/links/sats/PITs/marts it left untested."""
+    """The constraint set of the warehouse: hubs, links, satellites, PITs and marts."""
     out: list[Check] = []
-    hubs = {"hub_country": "country", "hub_indicator": "indicator", "hub_article": "article",
-            "hub_location": "location", "hub_commit": "commit", "hub_sensor": "sensor"}
-    for model, name in hubs.items():
+    for model, name in HUB_NAMES.items():
         if model in t:
             for col in (f"hk_{name}", f"{name}_bkey"):
-                out.append(Check(model, col, "not_null", not_null(t[model], col)))
+                out.append(Check(model, col, "not_null", table=t[model]))
                 out.append(Check(model, col, "unique", unique(t[model], col)))
-    rels = [("link_country_indicator", "hk_country", "hub_country"),
-            ("link_country_indicator", "hk_indicator", "hub_indicator"),
-            ("link_project_article", "hk_article", "hub_article"),
-            ("sat_article_views", "hk_article", "hub_article"),
-            ("sat_country_indicator_values", "hk_country", "hub_country"),
-            ("sat_weather_hourly", "hk_location", "hub_location"),
-            ("sat_commit_meta", "hk_commit", "hub_commit"),
-            ("sat_sensor_measurements", "hk_sensor", "hub_sensor")]
-    for child, col, parent in rels:
+    for child, col, parent in RELATIONSHIPS:
         if child in t and parent in t:
             out.append(Check(child, col, "relationships", relationships(t[child], col, t[parent], col)))
-    for sat in ("sat_country_indicator_values", "sat_article_views", "sat_weather_hourly",
-                "sat_commit_meta", "sat_sensor_measurements"):
-        if sat in t:
-            for col in ("hash_natural_key", "hd_attributes"):
-                out.append(Check(sat, col, "not_null", not_null(t[sat], col)))
+    for model, cols in NOT_NULL.items():
+        if model in t:
+            out += [Check(model, col, "not_null", table=t[model]) for col in cols]
     return out

@@ -1,4 +1,6 @@
-"""Anti-joins with the two NULL semantics the loaders need, all as equi-joins.
+"""Anti-joins with the two NULL semantics the loaders need, as equi-joins. (When no column is
+declared non-NULL, the "right row NULL in every column" case joins on a constant: a nested loop
+against at most one row.)
 
 * ``anti_join`` — ``NOT EXISTS (... a = b AND ...)``: a NULL key never matches, so a row
   with a NULL key always survives.
@@ -33,8 +35,8 @@ def _subsets(items: list[str]):
 
 
 def _probe(right: DataFrame, left: DataFrame, on: list[str]) -> DataFrame:
-    """Right rows whose key also occurs on the (size-checked, broadcast) left side."""
-    return right.join(F.broadcast(left.select(*on)), on, "left_semi")
+    """Right rows whose key also occurs on the left side, whose distinct keys were counted before."""
+    return right.join(F.broadcast(left.select(*on).distinct()), on, "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: list[str], small_left: bool = False) -> DataFrame:

@@ -123,9 +123,13 @@ def pit_sensor(sat_sensor_measurements: DataFrame, grain: str = "hour") -> DataF
 
 
 def quake_day(epoch_ms: Column | str) -> Column:
-    """UTC day of an epoch in milliseconds as ``yyyy-MM-dd`` (integer math, zone-free)."""
+    """UTC day of an epoch in milliseconds as ``yyyy-MM-dd`` (integer math, zone-free).
+
+    NULL beyond the year 9999 (an unsigned 64-bit epoch reaches further than a date).
+    """
     c = F.col(epoch_ms) if isinstance(epoch_ms, str) else epoch_ms
-    return F.date_from_unix_date(F.floor(c / F.lit(86_400_000)).cast("int")).cast("string")
+    days = F.floor(c.cast("decimal(20,0)") / F.lit(86_400_000))
+    return F.when(days <= 2_932_896, F.date_from_unix_date(days.try_cast("int")).cast("string"))
 
 
 def pit_quake_day(stg_usgs: DataFrame) -> DataFrame:

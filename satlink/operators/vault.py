@@ -89,8 +89,9 @@ def build_satellite(df: DataFrame, parents: dict[str, Column], natural_key: Sequ
     ``natural_key``: parts joined by ``|`` (standardised) and hashed; any NULL part gives a
     NULL key. ``diff``: parts already rendered as text, NULL -> ``'NULL'``.
     ``reject_null_keys`` drops rows whose natural key is NULL (they would be re-inserted
-    on every append run). ``dedupe`` keeps one copy of identical rows of the batch, so
-    overlapping dumps insert once.
+    on every append run). ``dedupe`` keeps one row per (natural key, diff), the smallest: the
+    diff ignores case, so spellings that differ in case only are one version, and overlapping
+    dumps insert once. Rows without a key collapse only when all their columns are equal.
     """
     nk_parts = list(natural_key)
     if reject_null_keys:
@@ -101,8 +102,9 @@ def build_satellite(df: DataFrame, parents: dict[str, Column], natural_key: Sequ
     cols += [F.col(a) for a in attrs]
     sat = df.select(*cols)
     if dedupe:
-        # Identical rows of overlapping dumps collapse to one (hash aggregate on all columns).
-        sat = sat.distinct()
+        rest = [c for c in sat.columns if c not in (HASH_NK, HD)]
+        keyed = sat.distinct().groupBy(HASH_NK, HD, F.when(F.col(HASH_NK).isNull(), F.struct(*rest)).alias("__alone"))
+        sat = keyed.agg(F.min(F.struct(*rest)).alias("__row")).select(*[F.col(c) if c in (HASH_NK, HD) else F.col(f"__row.{c}").alias(c) for c in sat.columns])
     return sat.withColumn("load_dt", _load_dt(load_dt))
 
 
@@ -132,7 +134,9 @@ def hub_indicator(stg_worldbank: DataFrame, load_dt, dedupe_on: str = "hk") -> D
 
 
 def hub_location(stg_openmeteo: DataFrame, load_dt, dedupe_on: str = "hk") -> DataFrame:
-    df = stg_openmeteo.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    # Few distinct places against many hours: the number texts are made once per place, and
+    # after an aggregate, so that the parsing of the payload is not repeated inside them.
+    df = stg_openmeteo.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon").distinct()
     return build_hub(df, location_bkey("lat", "lon"), "location", load_dt, dedupe_on)
 
 

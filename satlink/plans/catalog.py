@@ -22,7 +22,8 @@ from satlink.operators import vault as V
 from satlink.operators.joins import null_aware_anti_join
 from satlink.operators.load import load_satellite
 from satlink.plans import oracle as O
-from satlink.plans.store import VaultStore
+from satlink.plans.store import VaultStore, materialize
+from satlink.plans.warehouse import Warehouse
 from satlink.session import run_dir
 from satlink.sources import landing as L
 from satlink.sources import shapers as S
@@ -86,7 +87,9 @@ def _no_load_dt(df: DataFrame) -> DataFrame:
 
 def _stg(source: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return staged(Tables(spark, sf_dir), source)
+        stg = staged(Tables(spark, sf_dir), source)
+        # The unsigned epoch is a DECIMAL(20,0); event times fit a bigint.
+        return stg.withColumn("epoch_ms", F.col("epoch_ms").cast("bigint")) if source == "usgs" else stg
     return q
 
 
@@ -113,7 +116,7 @@ def q_src_registry_scan(spark, sf_dir):
     root = run_dir(spark, "registry")
     L.land_payloads(S.usgs_payloads(t["events"]), f"{root}/usgs")
     reg = SourceRegistry.for_landing(root)
-    return FL.stg_usgs(scan_source(spark, reg, "raw_vault", "usgs"))
+    return FL.stg_usgs(scan_source(spark, reg, "raw_vault", "usgs")).withColumn("epoch_ms", F.col("epoch_ms").cast("bigint"))
 
 
 def q_filter_valid_json(spark, sf_dir):
@@ -278,6 +281,69 @@ def q_mart_population_by_country_year(spark, sf_dir):
                                         PIT.pit_country_indicator_year(sat))
 
 
+def q_mart_weather_daily(spark, sf_dir):
+    stg = stage_once(spark, staged(Tables(spark, sf_dir), "openmeteo"), "openmeteo")
+    return M.weather_daily(V.hub_location(stg, LOAD_DT_1), PIT.pit_weather_day(V.sat_weather_hourly(stg, LOAD_DT_1)))
+
+
+def _mart_air_quality(grain: str):
+    def q(spark, sf_dir):
+        stg = stage_once(spark, staged(Tables(spark, sf_dir), "openaq"), "openaq")
+        return M.air_quality(V.hub_sensor(stg, LOAD_DT_1), PIT.pit_sensor(V.sat_sensor_measurements(stg, LOAD_DT_1), grain))
+    return q
+
+
+def two_builds(spark, sf_dir, source: str) -> Warehouse:
+    """A fresh warehouse that has built batch 1 and then batch 2 of one source."""
+    t = Tables(spark, sf_dir)
+    wh = Warehouse(spark, VaultStore(spark, run_dir(spark, "warehouse")))
+    for batch, load_dt in ((1, LOAD_DT_1), (2, LOAD_DT_2)):
+        wh.build({source: S.SHAPERS[source](source_batch(t, source, batch))}, load_dt)
+    return wh
+
+
+def q_mart_quakes_daily(spark, sf_dir):
+    return two_builds(spark, sf_dir, "usgs").marts()["quakes_daily"]
+
+
+def q_mart_commits_daily(spark, sf_dir):
+    return two_builds(spark, sf_dir, "github").marts()["commits_daily"]
+
+
+def q_pit_article_day_incremental(spark, sf_dir):
+    """The PIT after two builds, the second merged from the appended rows."""
+    return two_builds(spark, sf_dir, "wikimedia").table("pit_article_day")
+
+
+def q_materialize_view(spark, sf_dir):
+    hub = V.hub_article(staged(Tables(spark, sf_dir), "wikimedia"), LOAD_DT_1)
+    materialize(hub, "hub_article_view", "view")
+    return _no_load_dt(spark.table("hub_article_view"))
+
+
+def q_materialize_table(spark, sf_dir):
+    store = VaultStore(spark, run_dir(spark, "vault"))
+    materialize(V.hub_article(staged(Tables(spark, sf_dir), "wikimedia"), LOAD_DT_1), "hub_article", "table", store)
+    return _no_load_dt(store.read("hub_article"))
+
+
+def q_dq_run_checks(spark, sf_dir):
+    """One summary row per data test over orders, customer and lineitem."""
+    t = Tables(spark, sf_dir)
+    c = t["customer"].select("c_custkey", _segment_null(t["customer"]).alias("segment"))
+    o, li = t["orders"], t["lineitem"]
+    kept = t["customer"].filter(F.col("c_mktsegment") != "BUILDING")
+    late = li.join(o, li["l_orderkey"] == o["o_orderkey"]).filter(F.col("l_shipdate") < F.col("o_orderdate"))
+    return C.run_checks([
+        C.Check("customer", "c_custkey", "not_null", table=c),
+        C.Check("customer", "segment", "not_null", table=c),
+        C.Check("orders", "o_custkey", "unique", C.unique(o, "o_custkey")),
+        C.Check("orders", "o_custkey", "relationships", C.relationships(o, "o_custkey", kept, "c_custkey")),
+        C.Check("orders", "o_orderpriority", "accepted_values", C.accepted_values(o, "o_orderpriority", O.ACCEPTED_PRIORITIES)),
+        C.Check("lineitem", "l_shipdate", "singular", C.singular(late)),
+    ])
+
+
 def _orders_with_missing_customers(t: Tables):
     """Orders, and customers minus the BUILDING segment: orders of those become orphans."""
     cust = t["customer"].filter(F.col("c_mktsegment") != "BUILDING")
@@ -458,6 +524,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pit_commit_day": q_pit_commit_day,
         "mart_article_traffic_daily": q_mart_article_traffic_daily,
         "mart_population_by_country_year": q_mart_population_by_country_year,
+        "mart_weather_daily": q_mart_weather_daily,
+        "mart_air_quality_hourly": _mart_air_quality("hour"),
+        "mart_air_quality_daily": _mart_air_quality("day"),
+        "mart_quakes_daily": q_mart_quakes_daily,
+        "mart_commits_daily": q_mart_commits_daily,
+        "pit_article_day_incremental": q_pit_article_day_incremental,
+        "materialize_view": q_materialize_view,
+        "materialize_table": q_materialize_table,
+        "dq_run_checks": q_dq_run_checks,
         "dq_not_null": q_dq_not_null,
         "dq_unique": q_dq_unique,
         "dq_relationships": q_dq_relationships,

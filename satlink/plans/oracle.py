@@ -389,4 +389,33 @@ def oracle_sql() -> dict[str, str]:
             "union all select 'customer', count(*), null from customer "
             "union all select 'missing_table', null, 'table not found: missing_table'"),
     })
+    day = lambda pit, hub, hk, bkey, name: (
+        f"select pit.* exclude ({hk}), hub.{bkey} as {name} from ({q[pit]}) pit join ({HUB_SQL[hub]}) hub on hub.{hk} = pit.{hk}")
+    newest = ("select * from (select *, row_number() over (partition by feature_id order by ld desc, epoch_ms desc, magnitude desc) as rn "
+              f"from (select *, 1 as ld from ({stg_usgs(1)}) union all select *, 2 as ld from ({stg_usgs(2)}))) where rn = 1")
+    q.update({
+        "mart_weather_daily": day("pit_weather_day", "hub_location", "hk_location", "location_bkey", "location"),
+        "mart_air_quality_hourly": day("pit_sensor_hour", "hub_sensor", "hk_sensor", "sensor_bkey", "sensor"),
+        "mart_air_quality_daily": day("pit_sensor_day", "hub_sensor", "hk_sensor", "sensor_bkey", "sensor"),
+        "mart_quakes_daily": (
+            "select cast(date '1970-01-01' + cast(floor(epoch_ms / 86400000) as integer) as varchar) as day, "
+            f"count(*) as n_quakes, max(magnitude) as max_magnitude from ({newest}) s where epoch_ms is not null group by 1"),
+        "mart_commits_daily": (
+            "select substr(author_date, 1, 10) as day, count(*) as n_commits, "
+            f"cast(sum(case when verified then 1 else 0 end) as bigint) as n_verified from ({upserted('sat_commit_meta')}) s group by 1"),
+        "pit_article_day_incremental": (
+            "select hk_article, project_id, substr(ts_yyyymmddhh, 1, 8) as yyyymmdd, cast(sum(views) as bigint) as views_day "
+            f"from ({appended('sat_article_views')}) s group by all"),
+        "materialize_view": HUB_SQL["hub_article"],
+        "materialize_table": HUB_SQL["hub_article"],
+        "dq_run_checks": " union all ".join(
+            f"select '{model}' as model, '{col}' as \"column\", '{test}' as test, (select count(*) from ({sql})) as failures"
+            for model, col, test, sql in [
+                ("customer", "c_custkey", "not_null", "select 1 from customer where c_custkey is null"),
+                ("customer", "segment", "not_null", f"select 1 from (select {seg_null} as segment from customer) where segment is null"),
+                ("orders", "o_custkey", "unique", "select o_custkey from orders where o_custkey is not null group by 1 having count(*) > 1"),
+                ("orders", "o_custkey", "relationships", q["dq_relationships"]),
+                ("orders", "o_orderpriority", "accepted_values", q["dq_accepted_values"]),
+                ("lineitem", "l_shipdate", "singular", q["dq_singular"])]),
+    })
     return q

@@ -12,6 +12,7 @@ Kinds, applied oldest to newest from the newest complete ``base``:
 * ``patch`` — replaces the buckets it contains (upserts that touch few buckets), so an
   upsert rewrites the touched buckets instead of the whole table.
 
+One writer per table: two writers that start from the same state would take the same version.
 Nothing is ever written over a folder that is being read. Reads go back to the files, so
 every write also cuts the lineage of what follows. ``vacuum`` drops segments that only
 older bases needed.
@@ -32,8 +33,13 @@ _ALL = "*"
 
 class VaultStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
+        """``root``: a permanent shared folder; by default one in Spark's warehouse folder.
+
+        Intermediate copies of a load go to the work folder (``spark.checkpoint.dir``) instead.
+        """
         self.spark = spark
-        self.root = (root or f"{work_root(spark)}/satlink/vault").rstrip("/")
+        self.root = (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/satlink_vault").rstrip("/")
+        self.scratch = f"{work_root(spark)}/satlink/scratch/{uuid.uuid4().hex}"
 
     # -- file system ----------------------------------------------------------------
     def _fs_path(self, path: str):
@@ -133,10 +139,44 @@ class VaultStore:
 
     def write_scratch(self, df: DataFrame, table: str, label: str) -> DataFrame:
         """Write an intermediate of a load of ``table`` once and read it back (lineage cut)."""
-        path = f"{self.root}/_scratch/{table}/{label}-{uuid.uuid4().hex}"
+        path = f"{self.scratch}/{table}/{label}-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def clear_scratch(self) -> None:
+        """Delete the intermediate copies that this store object has written."""
+        fs, p = self._fs_path(self.scratch)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    # -- versions ---------------------------------------------------------------------
+    def version(self, table: str) -> int:
+        """Number of the newest complete segment, 0 when there is none."""
+        return max((v for v, _, done in self._list(table) if done), default=0)
+
+    def changes_since(self, table: str, version: int) -> DataFrame | None:
+        """Rows appended after ``version``; None when some segment since then replaced rows."""
+        segs = [(k, f"{self.root}/{table}/{v:08d}-{k}") for v, k, done in self._list(table) if done and v > version]
+        if any(kind != "delta" for kind, _ in segs):
+            return None
+        paths = [p for _, path in segs for p in self._leaves(path).values()]
+        schema = self.read(table).schema
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def note_covers(self, derived: str, source: str, version: int) -> None:
+        """Record that the newest segment of ``derived`` is made from ``source`` up to ``version``."""
+        self.mark(f"covers/{derived}/{self.version(derived):08d}/{source}/{version:08d}")
+
+    def covers(self, derived: str, source: str) -> int | None:
+        """The version of ``source`` behind the newest segment of ``derived``; None when not recorded.
+
+        The record is written after the segment, so a run that dies between them leaves None.
+        """
+        fs, p = self._fs_path(f"{self.root}/_markers/covers/{derived}/{self.version(derived):08d}/{source}")
+        if not fs.exists(p):
+            return None
+        return max((int(st.getPath().getName()) for st in fs.listStatus(p)), default=None)
+
     def size_bytes(self, df: DataFrame) -> int:
         """Bytes on disk of the files behind a DataFrame read from the store."""
         total = 0

@@ -1,9 +1,12 @@
 """The build in dependency order: payloads -> staging -> hubs, links, satellites -> PIT -> marts.
 
 ``Warehouse`` is what a user runs: ``build()`` loads one batch of payloads per source into
-the store (new hub and link keys appended, satellites loaded incrementally, PITs merged
-with the aggregate of the inserted rows — sum and max are mergeable — or rebuilt after an
-upsert), and ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
+the store (new hub and link keys appended, satellites loaded incrementally), and refreshes
+the PITs: each PIT records the satellite version it covers, so a refresh merges the aggregate
+of *all* rows appended since (sum and max are mergeable), also those of a build that died
+before its PITs, rebuilds after rows were replaced, and does nothing when nothing changed.
+Earthquakes are kept by ``feature_id`` (the newest load wins), so overlapping feeds and replays
+count once.  ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
 flattened once per build and written as Parquet (compacted), so hubs, links and
 satellites fan out from files instead of re-parsing every payload three times.
 """
@@ -11,6 +14,7 @@ satellites fan out from files instead of re-parsing every payload three times.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from satlink.operators import checks as C
 from satlink.operators import marts as M
@@ -18,7 +22,7 @@ from satlink.operators import pit as PIT
 from satlink.operators import vault as V
 from satlink.operators.flatten import FLATTENERS
 from satlink.operators.joins import anti_join
-from satlink.operators.load import broadcast_limit, load_satellite_delta
+from satlink.operators.load import fits_broadcast, load_satellite_delta
 from satlink.plans.store import VaultStore
 
 
@@ -31,12 +35,13 @@ PITS = {
 }
 
 
-# PITs over upsert satellites: rebuilt after each load (averages are not mergeable).
+# PITs over tables whose rows are replaced: rebuilt when the table has changed.
 REBUILT_PITS = {
     "pit_weather_day": ("sat_weather_hourly", PIT.pit_weather_day),
     "pit_sensor_hour": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "hour")),
     "pit_sensor_day": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "day")),
     "pit_commit_day": ("sat_commit_meta", PIT.pit_commit_day),
+    "pit_quake_day": ("quakes", PIT.pit_quake_day),
 }
 
 
@@ -74,39 +79,56 @@ class Warehouse:
                     # The batch's keys are written once and measured: when small they are
                     # broadcast and the hub streams past them without a shuffle.
                     new = self.store.write_scratch(new, name, "keys")
-                    small = self.store.size_bytes(new) <= broadcast_limit(self.spark)
+                    small = fits_broadcast(new, [new.columns[0]])
                     new = anti_join(new, old, [new.columns[0]], small_left=small)
                 out[name] = self.store.write_delta(new, name)
-        inserted: dict[str, tuple[DataFrame | None, bool]] = {}
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
-                table, new, replaced = load_satellite_delta(batch, self.store, name, self.sat_modes[name],
-                                                            **self.load_options)
+                table, _, _ = load_satellite_delta(batch, self.store, name, self.sat_modes[name], **self.load_options)
                 if table is not None:
                     out[name] = table
-                    inserted[name] = (new, replaced)
-        for pit_name, (sat, fn, keys, measures) in PITS.items():
-            if sat in out:
-                out[pit_name] = self._refresh_pit(pit_name, out[sat], *inserted[sat], fn, keys, measures)
-        for pit_name, (sat, fn) in REBUILT_PITS.items():
-            if sat in out:
-                out[pit_name] = self.store.write_base(fn(out[sat]), pit_name)
         if "usgs" in stg:
-            # No quake hub or satellite: the daily bins come from staging; count and max merge.
-            delta = PIT.pit_quake_day(stg["usgs"])
-            old = self.store.read("pit_quake_day")
-            if old is not None:
-                delta = PIT.merge_pit(old, delta, ["day"], {"n_quakes": "sum", "max_magnitude": "max"})
-            out["pit_quake_day"] = self.store.write_base(delta, "pit_quake_day")
+            self._load_quakes(stg["usgs"], load_dt)
+        out.update(self.refresh_pits())
+        self.store.clear_scratch()
+        for name in [f"stg_{s}" for s in payloads] + ["quakes", *PITS, *REBUILT_PITS]:
+            self.store.vacuum(name)
         return out
 
-    def _refresh_pit(self, name, sat, new, replaced, fn, keys, measures) -> DataFrame:
-        """Merge the PIT of the inserted rows when rows were only added; else rebuild."""
-        old = self.store.read(name)
-        if old is None or replaced or new is None:
-            return self.store.write_base(fn(sat), name)
-        return self.store.write_base(PIT.merge_pit(old, fn(new), keys, measures), name)
+    def _load_quakes(self, stg: DataFrame, load_dt) -> None:
+        """Keep one row per earthquake: that of the newest load, the largest row if it has several."""
+        new = stg.select("feature_id", "epoch_ms", "magnitude").withColumn("load_dt", F.lit(load_dt).cast("timestamp"))
+        old = self.store.read("quakes")
+        both = new if old is None else old.unionByName(new)
+        # Features without id cannot be told apart: equal rows count once.
+        key = F.coalesce(F.col("feature_id"), F.concat_ws("|", F.lit(""), F.col("epoch_ms").cast("string"), F.col("magnitude").cast("string")))
+        best = F.max_by(F.struct("feature_id", "epoch_ms", "magnitude", "load_dt"), F.struct("load_dt", "epoch_ms", "magnitude"))
+        self.store.write_base(both.groupBy(key.alias("__key")).agg(best.alias("q")).select("q.*"), "quakes")
+
+    def refresh_pits(self) -> dict[str, DataFrame]:
+        """Bring every PIT up to its source table; safe to call again after a failure."""
+        out = {}
+        for name, (source, fn, keys, measures) in PITS.items():
+            if self.store.exists(source):
+                out[name] = self._refresh(name, source, fn, keys, measures)
+        for name, (source, fn) in REBUILT_PITS.items():
+            if self.store.exists(source):
+                out[name] = self._refresh(name, source, fn)
+        return out
+
+    def _refresh(self, name, source, fn, keys=None, measures=None) -> DataFrame:
+        now = self.store.version(source)
+        covered = self.store.covers(name, source) if self.store.exists(name) else None
+        if covered == now:
+            return self.store.read(name)
+        added = self.store.changes_since(source, covered) if covered is not None and keys else None
+        if added is not None:
+            self.store.write_base(PIT.merge_pit(self.store.read(name), fn(added), keys, measures), name)
+        else:
+            self.store.write_base(fn(self.store.read(source)), name)
+        self.store.note_covers(name, source, now)
+        return self.store.read(name)
 
     def table(self, name: str) -> DataFrame | None:
         return self.store.read(name)
@@ -138,6 +160,6 @@ class Warehouse:
         return out
 
     def run_checks(self) -> DataFrame:
-        names = list(V.HUBS) + list(V.LINKS) + list(V.SATELLITES)
+        names = [*V.HUBS, *V.LINKS, *V.SATELLITES, *PITS, *REBUILT_PITS]
         t = {n: df for n in names if (df := self.store.read(n)) is not None}
-        return C.run_checks(C.vault_checks(t))
+        return C.run_checks(C.vault_checks({**t, **self.marts()}))

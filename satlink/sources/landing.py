@@ -72,8 +72,8 @@ def landing_key(source: str, load_dt: Column | str) -> Column:
         return F.concat(F.lit("github/"), _s("owner"), F.lit("/"), _s("repo"), F.lit("/"), ts, F.lit(".json.gz"))
     if source == "openaq":
         return F.concat(F.lit("openaq/sensors/"), _s("sensor_id"), F.lit("/"), _s("resource"), F.lit("/"),
-                        F.coalesce(_s("date_from"), F.lit("na")), F.lit("_"),
-                        F.coalesce(_s("date_to"), F.lit("na")), F.lit("/"), ts, F.lit(".json.gz"))
+                        F.coalesce(F.nullif(_s("date_from"), F.lit("")), F.lit("na")), F.lit("_"),
+                        F.coalesce(F.nullif(_s("date_to"), F.lit("")), F.lit("na")), F.lit("/"), ts, F.lit(".json.gz"))
     if source == "usgs":
         return F.concat(F.lit("usgs/earthquakes/"), _s("feed"), F.lit("/"), ts, F.lit(".geojson.gz"))
     raise ValueError(f"unknown source {source!r}")
