@@ -67,8 +67,8 @@ def stg_wikimedia(b=None) -> str:
 
 def stg_worldbank(b=None) -> str:
     return ("select case when o_orderpriority = '1-URGENT' then 'SP.POP.TOTL' else o_orderpriority end as indicator_id, "
-            "o_orderpriority as indicator_name, cast(n_nationkey as varchar) as country_id, n_name as country_name, "
-            "n_name as country_iso3, cast(year(o_orderdate) as varchar) as year, '' as unit, '' as obs_status, "
+            "o_orderpriority as indicator_name, cast(n_nationkey as varchar) as country_id, "
+            "n_name || '-' || cast(c_custkey as varchar) as country_name, n_name || '-' || cast(c_custkey as varchar) as country_iso3, cast(year(o_orderdate) as varchar) as year, '' as unit, '' as obs_status, "
             "'0' as decimal_places, max(o_totalprice) as value "
             f"from {ORDERS[b]} o join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey "
             "group by all")
@@ -208,7 +208,7 @@ def qv(x: str) -> str:
 
 def request_sql() -> str:
     wb = (f"select distinct case when o_orderpriority = '1-URGENT' then 'SP.POP.TOTL' else o_orderpriority end as indicator, "
-          f"n_name as country from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey")
+          f"n_name || '-' || cast(c_custkey as varchar) as country from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey")
     om = "select distinct l_suppkey / 10.0 as lat, l_linenumber / 10.0 as lon from lineitem"
     wk = ("select event_type as project, 'User ' || cast(user_id as varchar) as article, "
           "strftime(min(ts), '%Y%m%d') as start_d, strftime(max(ts), '%Y%m%d') as end_d from events group by all")

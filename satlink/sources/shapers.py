@@ -1,8 +1,9 @@
 """Driver tables -> API-shaped payloads, so every staging path runs on data that grows with them.
 
-Each payload is one page of at most ``PAGE_ROWS`` source rows: pages are cut by ranges of a
-unique id (``floor(id / PAGE_ROWS)``), which bounds every ``collect_list`` group no matter how
-skewed the grouping key is. The page id joins the natural grouping key (article, sensor, ...)
+Each payload is one page: pages are cut by ranges of an id (``floor(id / PAGE_ROWS)``), which
+bounds every ``collect_list`` group no matter how skewed the grouping key is: at most
+``PAGE_ROWS`` rows where the id is unique (events, orders), up to seven times as many where it is
+the order key of lineitem; a customer's observations of one priority for worldbank. The page id joins the natural grouping key (article, sensor, ...)
 in the grouping, so a hot key is spread over many pages and many tasks.
 
 Output of every shaper: request-parameter columns (see ``landing.landing_key``) + ``value``.
@@ -59,16 +60,17 @@ def wikimedia_payloads(events: DataFrame) -> DataFrame:
 
 
 def worldbank_observations(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Max order price per (nation, priority, year) as indicator observations.
+    """Max order price per (customer, priority, year) as indicator observations.
 
-    ``max`` is pre-aggregated per customer before the join, so the shuffle into the join
-    carries one row per (customer, priority, year) instead of one per order.
+    A customer plays the country (``NATION-custkey``), so that countries grow with the data.
+    ``max`` is aggregated before the joins.
     """
     per_cust = (orders.groupBy("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("yr"))
-                .agg(F.max("o_totalprice").alias("mx")))
+                .agg(F.max("o_totalprice").alias("value")))
     joined = (per_cust.join(customer.select("c_custkey", "c_nationkey"), per_cust.o_custkey == customer.c_custkey)
               .join(F.broadcast(nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey")))
-    return joined.groupBy("n_nationkey", "n_name", "o_orderpriority", "yr").agg(F.max("mx").alias("value"))
+    name = F.concat("n_name", F.lit("-"), F.col("c_custkey").cast("string"))
+    return joined.select("n_nationkey", name.alias("n_name"), "o_orderpriority", "yr", "value")
 
 
 def worldbank_payloads(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
