@@ -24,7 +24,8 @@ SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table of the corpus. Vectored reads are off: they hold whole column chunks of text outside the heap."""
+    return spark.read.option("parquet.hadoop.vectored.io.enabled", "false").parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def python_tasks(spark: SparkSession) -> None:

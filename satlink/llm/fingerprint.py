@@ -5,9 +5,9 @@ has as many shingles as words and short texts still compare). The sketch keeps t
 distinct 64-bit hashes, in order. Sketches of parts merge into the sketch of the whole, and
 estimate resemblance, containment and the number of distinct shingles.
 
-``with_next`` pairs every document with the next one in descending doc_id order: documents
-are dealt by ranges of doc_id (quantiles, at most ``RANGES``), the head of each range is
-repeated as the end of the range before it, and a window per range looks one row ahead. So
+``with_ends`` and ``with_next`` pair every document with the next one in descending doc_id
+order: documents are dealt by ranges of doc_id (quantiles, at most ``RANGES``), the head of each
+range is repeated as the end of the range before it, and a window per range looks one row ahead. So
 each text is shuffled once and no task holds more than a range.
 
 Edge cases: a null text counts as empty; without words the sketch is empty, two empty sketches
@@ -85,11 +85,10 @@ def _range_of(doc_id: Column, bounds: list[int]) -> Column:
 
 
 def with_ends(docs: DataFrame) -> DataFrame:
-    """Deal the documents (doc_id, text) by ranges of doc_id, and repeat the head of each range.
+    """Deal the documents (doc_id, text, ...) by ranges of doc_id, and repeat the head of each range.
 
-    Adds ``__range`` and ``__end``: the row of a range that is the head of the next lower one.
+    Adds ``__range`` and ``__end``: whether the row is the head of the next lower range, repeated.
     """
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     n = docs.count()
     ranges = min(RANGES, max(1, -(-n // RANGE_ROWS), -(-C.plan_bytes(docs) // RANGE_BYTES)))
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
@@ -97,14 +96,13 @@ def with_ends(docs: DataFrame) -> DataFrame:
     bounds = sorted(set(ids.agg(F.percentile_approx("doc_id", shares, 10 * ranges).alias("b")).first()["b"] or [])) if shares else []
     place = _range_of(F.col("doc_id"), bounds)
     heads = sorted(((r["range"], r["head"]) for r in ids.groupBy(place.alias("range")).agg(F.max("doc_id").alias("head")).collect()), reverse=True)
-    rows = docs.select("*", place.alias("__range"), F.lit(False).alias("__end"))
-    if not heads:
-        return rows
     # The head of each range ends the range before it, the first head the last range. One row per range is broadcast.
     ends = docs.sparkSession.createDataFrame([(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)], "__head long, __before int")
-    first = Window.partitionBy("__before").orderBy(F.col("text").asc_nulls_first())
-    found = docs.join(F.broadcast(ends), F.col("doc_id").eqNullSafe(F.col("__head"))).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return rows.unionByName(found.select(*docs.columns, F.col("__before").alias("__range"), F.lit(True).alias("__end")))
+    rows = docs.join(F.broadcast(ends), F.col("doc_id").eqNullSafe(F.col("__head")), "left")
+    own = F.struct(place.alias("__range"), F.lit(False).alias("__end"))
+    end = F.struct(F.col("__before").alias("__range"), F.lit(True).alias("__end"))
+    dealt = F.when(F.col("__before").isNull(), F.array(own)).otherwise(F.array(own, end))
+    return rows.select(*docs.columns, F.inline(dealt).alias("__range", "__end"))
 
 
 def with_next(rows: DataFrame, carry: list[str]) -> DataFrame:
@@ -122,8 +120,8 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
 
     ``edited``: the last third of the code points replaced by the first ones of the next document.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(with_sketch(with_ends(rows), "text", "sketch", k), ["text", "sketch"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(with_ends(with_sketch(rows, "text", "sketch", k)), ["text", "sketch"])
     n = F.length("text")
     cut = F.floor(n / F.lit(3)).cast("int")
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)))
