@@ -10,10 +10,13 @@ Two documents link when 100 * intersection >= ``PERCENT`` * union of their sets
    sets become one representative (smallest doc_id).
 3. The prefixes become inverted lists. Lists of common cells are split by ``SALTS``. First only
    neighbours of a list, in order of size, are candidates: they join most groups of near copies.
-4. Then, in each list, members outside the list's largest component are candidates with all
-   members of other components. Length and position in the prefix rule candidates out exactly,
-   so no pair that can link and is not yet joined is left out.
-5. A query document and up to ``CHUNK`` candidates meet with their whole sets: the sets form
+4. Then, in each list that still has several components, members outside the largest one are
+   candidates with all members of other components. Length and position in the prefix rule
+   candidates out exactly, so no pair that can link and is not yet joined is left out. Members
+   of lists longer than ``LONG`` go to blocks of about ``CHUNK`` documents instead, and the blocks
+   that meet in a list are compared whole: a document is sent once for each such block, not once
+   for each pair.
+5. A query document and its candidates, or two blocks, meet with their whole sets: the sets form
    inverted lists, DivideSkip sets the longest aside, heap-merges the short ones and probes the
    long ones by binary search, and keeps candidates that reach the overlap T.
 
@@ -28,12 +31,13 @@ with a null component; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 from math import log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +52,7 @@ CELLS = 1 << 20
 SLICES = 16
 SALTS = 64
 CHUNK = 64
+LONG = 32
 #: Candidate rows that may be broadcast (32 bytes each); beyond, the documents are shuffled instead.
 BROADCAST_ROWS = 1_000_000
 #: A cell is common when it holds this many times the mean, and this many occurrences.
@@ -104,32 +109,42 @@ def frequency_sketch(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     return np.minimum(out, np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def t_occurrence(query: np.ndarray, sets: list[np.ndarray], need: list[int]) -> list[int]:
-    """Numbers of the sets that share at least need[i] shingles with the query, by DivideSkip."""
-    token = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    lo, hi = np.searchsorted(token, query, "left"), np.searchsorted(token, query, "right")
-    lists = sorted((owner[a:b].tolist() for a, b in zip(lo.tolist(), hi.tolist()) if b > a), key=len)
-    if not lists:
-        return []
-    least = min(need)
-    aside = max(0, min(int(least / (0.01 * log2(len(lists[-1]) + 1) + 1)), least - 1, len(lists) - 1))
-    short, long_ = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    found, i, count = [], None, 0
-    for who in heapq.merge(*short, [len(sets)]):
-        if who == i:
-            count += 1
-            continue
-        if i is not None and count >= need[i] - len(long_):
-            for probe in long_:
-                at = bisect_left(probe, i)
-                count += at < len(probe) and probe[at] == i
-            if count >= need[i]:
+class Inverted:
+    """Inverted lists of some sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+        token = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.lexsort((owner, token))
+        self.token, self.owner = token[order], owner[order]
+
+    def search(self, query: np.ndarray, need: dict[int, int]) -> list[int]:
+        """Numbers i of the sets that share at least need[i] shingles with the query, by DivideSkip."""
+        lo, hi = np.searchsorted(self.token, query, "left"), np.searchsorted(self.token, query, "right")
+        length = hi - lo
+        by_length = np.argsort(length, kind="stable")
+        by_length = by_length[length[by_length] > 0]
+        if not len(by_length) or not need:
+            return []
+        least = min(need.values())
+        aside = max(0, min(int(least / (0.01 * log2(length[by_length[-1]] + 1) + 1)), least - 1, len(by_length) - 1))
+        short, probes = by_length[: len(by_length) - aside], np.sort(query[by_length[len(by_length) - aside :]])
+        lists = [self.owner[a:b].tolist() for a, b in zip(lo[short].tolist(), hi[short].tolist())]
+        found = []
+        for i, same in groupby(heapq.merge(*lists)):
+            if (t := need.get(i)) is None:
+                continue
+            count = sum(1 for _ in same)
+            if count < t - aside:
+                continue
+            if aside:  # whether the set is in the long lists: a binary search for each
+                mine = self.sets[i]
+                at = np.minimum(np.searchsorted(mine, probes), len(mine) - 1)
+                count += int((mine[at] == probes).sum())
+            if count >= t:
                 found.append(i)
-        i, count = who, 1
-    return found
+        return found
 
 
 def _documents(docs: DataFrame, sketch, size: int, percent: int) -> DataFrame:
@@ -181,47 +196,87 @@ def _may_link(n, rank, m, other_rank, percent: int):
     return (F.lit(100) * n >= F.lit(percent) * m) & (left >= need)
 
 
-def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) that link, of the candidate pairs (a, b): found by T-occurrence over whole sets."""
-    chunk = F.floor((F.row_number().over(Window.partitionBy("b").orderBy("a")) - 1) / F.lit(CHUNK)).cast("int")
+def _pair_roles(pairs: DataFrame) -> DataFrame:
+    """Roles for candidate pairs (a, b): b is the query of up to CHUNK candidates a."""
+    chunk = F.floor((F.row_number().over(Window.partitionBy("b").orderBy("a")) - 1) / F.lit(CHUNK)).cast("long")
     pairs = C.cut(pairs.withColumn("chunk", chunk))
-    roles = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("query"), "chunk", F.lit(1).alias("role")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"), F.col("b").alias("query"), "chunk", F.lit(0).alias("role")).distinct()
-    )
-    bounded = pairs.count() * 2 <= BROADCAST_ROWS
-    source = docs.select("doc_id", "text").join(F.broadcast(roles) if bounded else roles, "doc_id")
+    alone = F.lit(None).cast("long").alias("root")
+    candidates = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("x"), F.col("chunk").alias("y"), F.lit(1).alias("role"), alone)
+    return candidates.unionByName(pairs.select(F.col("b").alias("doc_id"), F.col("b").alias("x"), F.col("chunk").alias("y"), F.lit(0).alias("role"), alone).distinct())
+
+
+def _block_roles(long_: DataFrame) -> DataFrame:
+    """Roles for long lists (token, members, rep, root): the blocks that meet in a list.
+
+    A document is at home in its longest list. Documents of one home form blocks, those of a
+    large component by themselves, so that blocks of one component need not be compared.
+    """
+    home = C.cut(long_.groupBy("rep").agg(F.max_by("token", F.struct("members", "token")).alias("home"), F.first("root").alias("root")))
+    large = home.groupBy("home", "root").agg(F.count("*").alias("same")).where(F.col("same") >= CHUNK)
+    home = home.join(large, ["home", "root"], "left").withColumn("pure", F.when(F.col("same").isNotNull(), F.col("root")))
+    home = home.withColumn("group", F.xxhash64("home", F.coalesce("pure", F.lit(-1))))
+    home = home.join(home.groupBy("group").agg(F.count("*").alias("size")), "group")
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / F.lit(CHUNK)))
+    blocks = C.cut(home.select("rep", "root", "pure", F.xxhash64("group", part).alias("block")))
+    met = C.cut(long_.select("token", "rep").join(blocks.select("rep", "block", "pure"), "rep").select("token", "block", "pure").distinct())
+    x, y = met.select("token", F.col("block").alias("x"), F.col("pure").alias("x_pure")), met.select("token", F.col("block").alias("y"), F.col("pure").alias("y_pure"))
+    tiles = x.join(y, "token").where("x <= y and not coalesce(x_pure = y_pure, false)").select("x", "y").distinct()
+    members = blocks.select(F.col("rep").alias("doc_id"), "root", "block")
+    first = tiles.join(members, F.col("x") == F.col("block")).select("doc_id", "x", "y", F.when(F.col("x") == F.col("y"), 2).otherwise(1).alias("role"), "root")
+    return first.unionByName(tiles.where("x <> y").join(members, F.col("y") == F.col("block")).select("doc_id", "x", "y", F.lit(0).alias("role"), "root"))
+
+
+def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that link, found by T-occurrence over the whole sets that meet under a key.
+
+    roles: (doc_id, x, y, role, root); under each key (x, y) every query (role 0) searches the
+    candidates (role 1), and documents of role 2 search each other; never those of its own root.
+    """
+    roles = C.cut(roles)
+    source = docs.select("doc_id", "text").join(F.broadcast(roles) if roles.count() <= BROADCAST_ROWS else roles, "doc_id")
+    names = ("x", "y", "role", "root", "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.merged(batches):
-            found = [(s & _48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in shingle_sets(batch, size)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("query", "chunk", "role", "doc_id")] + [pa.array(found, pa.binary())], names=["query", "chunk", "role", "doc_id", "shingles"])
+            # The rows of a document stand together: its set is made once.
+            text = batch.column("text")
+            other = pc.fill_null(pc.not_equal(text.slice(1), text.slice(0, len(text) - 1)), True)
+            new = np.append(True, other.to_numpy(zero_copy_only=False)).astype(bool)
+            found = [(s & _48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in shingle_sets(batch.filter(pa.array(new)), size)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(found, pa.binary()).take(pa.array(np.cumsum(new) - 1))], names=[*names, "shingles"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, queries, held, a, b = None, [], [], [], []
 
         def close() -> None:
-            for q in queries:
-                need = [required(len(q), len(s), percent) for _, s in held]
-                for i in t_occurrence(q, [s for _, s in held], need) if held else []:
-                    a.append(held[i][0]), b.append(key[0])
+            if not held or not queries:
+                return
+            index = Inverted([s for _, _, s in held])
+            for doc, root, q in queries:
+                need = {i: required(len(q), len(s), percent) for i, (other, its, s) in enumerate(held) if other != doc and (its is None or its != root) and len(s)}
+                need = {i: t for i, t in need.items() if t <= min(len(q), len(held[i][2]))}
+                for i in index.search(q, need):
+                    a.append(min(doc, held[i][0])), b.append(max(doc, held[i][0]))
 
         for batch in batches:
-            for query, chunk_, role, doc, data in zip(*(batch.column(c).to_pylist() for c in ("query", "chunk", "role", "doc_id", "shingles"))):
-                if (query, chunk_) != key:
+            for x, y, role, root, doc, data in zip(*(batch.column(c).to_pylist() for c in (*names, "shingles"))):
+                if (x, y) != key:
                     close()
-                    key, queries, held = (query, chunk_), [], []
+                    key, queries, held = (x, y), [], []
                 raw = np.zeros((len(data) // 6, 8), np.uint8)
                 raw[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
                 s = np.sort(raw.reshape(-1).view(np.uint64))
-                queries.append(s) if role == 0 else held.append((doc, s))
+                if role != 1:
+                    queries.append((doc, root, s))
+                if role != 0:
+                    held.append((doc, root, s))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
             a.clear(), b.clear()
         close()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    schema = "query long, chunk int, role int, doc_id long, shingles binary"
-    dealt = source.mapInArrow(sets, schema).repartition("query", "chunk").sortWithinPartitions("query", "chunk", "role")
-    return dealt.mapInArrow(search, "a long, b long").distinct()
+    dealt = source.select("text", *names).mapInArrow(sets, "x long, y long, role int, root long, doc_id long, shingles binary")
+    return dealt.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(search, "a long, b long").distinct()
 
 
 def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -246,21 +301,24 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = P
     heads = lists.where("salt >= 0 and last_rep is null").select("rep", F.lag("rep").over(parts).alias("last"))
     near = near.unionByName(heads.where("last is not null").select(F.col("last").alias("a"), F.col("rep").alias("b")))
     near = near.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    stars = components.stars(_links(docs, near, size, percent))
+    stars = components.stars(_links(docs, _pair_roles(near), size, percent))
 
     # What is left: in each list, members outside its largest component with members of other components.
     labelled = lists.join(stars.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     labelled = C.written(labelled.select("token", "rep", "n", "rank", F.coalesce("root", "rep").alias("root")), "jaccard-labelled")
-    shares = labelled.groupBy("token", "root").agg(F.count("*").alias("members"))
-    largest = shares.groupBy("token").agg(F.max_by("root", F.struct("members", "root")).alias("largest"), F.count("*").alias("roots")).where("roots > 1")
-    mixed = labelled.join(largest.select("token", "largest"), "token")
-    x = mixed.where("root <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "rank", "root", "largest")])
+    shares = labelled.groupBy("token", "root").agg(F.count("*").alias("share"))
+    mixed = shares.groupBy("token").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.sum("share").alias("members"), F.count("*").alias("roots")).where("roots > 1")
+    mixed = C.cut(labelled.join(mixed.select("token", "largest", "members"), "token"))
+    short = mixed.where(F.col("members") <= LONG)
+    x = short.where("root <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "rank", "root", "largest")])
     small_x = F.struct("x_n", "x_rep") < F.struct("n", "rep")
     one_way = (F.col("root") == F.col("x_largest")) | small_x  # both outside the largest: once
     fits = F.when(F.col("x_n") <= F.col("n"), _may_link(F.col("x_n"), F.col("x_rank"), F.col("n"), F.col("rank"), percent)).otherwise(_may_link(F.col("n"), F.col("rank"), F.col("x_n"), F.col("x_rank"), percent))
-    rest = x.join(mixed.select("token", "rep", "n", "rank", "root"), "token").where((F.col("root") != F.col("x_root")) & one_way & fits)
+    rest = x.join(short.select("token", "rep", "n", "rank", "root"), "token").where((F.col("root") != F.col("x_root")) & one_way & fits)
     rest = rest.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
-    stars = components.stars(stars.unionByName(_links(docs, rest, size, percent)))
+    blocks = _block_roles(mixed.where(F.col("members") > LONG).select("token", "members", "rep", "root"))
+    more = _links(docs, _pair_roles(rest).unionByName(blocks), size, percent)
+    stars = components.stars(stars.unionByName(more))
 
     class_of = of_key.agg(F.min("doc_id").alias("rep")).join(stars.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     class_of = class_of.select("k1", "k2", F.coalesce("root", "rep").alias("root"))
