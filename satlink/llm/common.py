@@ -21,18 +21,21 @@ from satlink.session import work_root
 ARROW_ROWS = 256
 #: Bytes of text that the numpy code works on at once (a longer text is taken alone, whole).
 SLICE_BYTES = 4 << 20
+_VECTORED = "parquet.hadoop.vectored.io.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus. Vectored reads are off: they hold whole column chunks of text outside the heap."""
-    return spark.read.option("parquet.hadoop.vectored.io.enabled", "false").parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.option(_VECTORED, "false").parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def python_tasks(spark: SparkSession) -> None:
-    """Prepare for Python tasks: executors get this package, Arrow batches a bound.
+    """Prepare for Python tasks: executors get this package, Arrow batches a bound, reads no buffers outside the heap.
 
-    A smaller batch size set by the user stays.
+    Settings made by the user stay, batches larger than ``ARROW_ROWS`` apart.
     """
+    if spark.conf.get(_VECTORED, None) is None:
+        spark.conf.set(_VECTORED, "false")
     sc = spark.sparkContext
     if not getattr(sc, "_satlink_shipped", False):
         package = Path(__file__).resolve().parents[1]
@@ -156,6 +159,17 @@ class TwoGenerations(dict):
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of a DataFrame (for a table scan: its files), without a job."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size))
+    """Spark's size estimate of a DataFrame (for a table scan: its files), without a job.
+
+    Where Spark has no estimate (it then takes the largest number) the texts are counted.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else text_bytes(df)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one made from it that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -347,6 +347,9 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
 
     def solve(t: pa.Table) -> pa.RecordBatch:
         t = t.combine_chunks()
+        # Rows of equal doc_id and text have asked for the same bytes: they count once.
+        at = [t.column(c).to_numpy() for c in ("key", "part", "id", "crc", "start")]
+        t = t.filter(pa.array(np.append(True, np.any([x[1:] != x[:-1] for x in at], axis=0)))).combine_chunks()
         data, offsets = C.utf8(t.column("data"))
         key, part = t.column("key").to_numpy(), t.column("part").to_numpy()
         new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))
@@ -437,8 +440,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("null_text"), pa.array(out, pa.string())], names=schema.fieldNames())
 
     # Whether the text is null travels with the carried columns.
-    marked = docs.withColumn("__null_text", F.col("text").isNull())
-    rows = _with_spans(marked, length, gram, [*carry, "__null_text"]).select(F.struct(*[F.col("row")[c].alias(c) for c in carry]).alias("row"), F.col("row")["__null_text"].alias("null_text"), "text", "starts", "ends")
+    mark = C.free_name(docs, "null_text")
+    marked = docs.withColumn(mark, F.col("text").isNull())
+    rows = _with_spans(marked, length, gram, [*carry, mark]).select(F.struct(*[F.col("row")[c].alias(c) for c in carry]).alias("row"), F.col("row")[mark].alias("null_text"), "text", "starts", "ends")
     text = F.when(~F.col("null_text"), F.col("text"))
     columns = {c: F.col("row")[c] for c in carry} | {"text": text}
     if "n_chars" in columns:

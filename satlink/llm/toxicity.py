@@ -36,7 +36,7 @@ from satlink.llm import common as C
 
 POSITIVES, UNLABELLED, FEATURES = 3000, 9000, 2048
 #: Least log-likelihood ratio, and count among positives, of a feature.
-EVIDENCE, LEAST = 40.0, 8
+EVIDENCE, LEAST = 28.0, 6
 STARTS = (3, 4, 5, 6)
 THRESHOLD = 0.3
 _WORDS = B.Words(B.alnum_bytes())

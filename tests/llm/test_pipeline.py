@@ -36,7 +36,7 @@ def test_edges_in_every_stage(spark, small_dir):
     """Nulls, repeated rows and clashing columns pass each stage; an empty table stays empty."""
     rows = [(1, "a b c d e f", "en"), (1, "a b c d e f", "en"), (2, None, None), (None, "x y", "de"), (3, "", "en"), (4, "a b c d e f", "en")]
     schema = "doc_id long, text string, lang string"
-    names = ("score", "predicted", "row", "id", "crc", "n_hit", "ids", "__n")
+    names = ("score", "predicted", "row", "id", "crc", "n_hit", "ids", "number", "null_text")
     for given, left in ((rows, [1, 2, 3, None]), ([], [])):
         docs = spark.createDataFrame(given, schema).selectExpr("*", "null as source", "cast(length(text) as long) as n_chars", *[f"'own' as {c}" for c in names])
         for name, stage in corpus_pipeline.STAGES:
