@@ -20,7 +20,7 @@ from satlink.session import work_root
 #: Rows in an Arrow batch sent to Python: whole texts are long, so batches stay small.
 ARROW_ROWS = 256
 #: Bytes of text that the numpy code works on at once (a longer text is taken alone, whole).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = (2 << 20) - 1024
 _VECTORED = "parquet.hadoop.vectored.io.enabled"
 
 
