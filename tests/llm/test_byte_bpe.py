@@ -41,3 +41,15 @@ def test_small_word_cache_gives_the_same(docs, library, monkeypatch):
     for at in range(0, 40, 8):
         for t, (ids, decoded) in zip(texts[at : at + 8], codec.texts(texts[at : at + 8])):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(t) and decoded == t.encode()
+
+
+def test_long_words_are_contracted_alike(library, monkeypatch):
+    codec = byte_bpe.Codec(RANKS, P.PATTERN)
+    rng = np.random.default_rng(1)
+    words = ["a" * 1500, " " * 3000 + "x", "".join(rng.choice(list("abcé"), 4000)), "=-" * 2500, "x" * 200_000]
+    for text, (ids, decoded) in zip(words, codec.texts(words)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and decoded == text.encode()
+    monkeypatch.setattr(byte_bpe, "LONG_WORD", 3)
+    other = byte_bpe.Codec(RANKS, P.PATTERN)
+    texts = ["The quick brown foxes, naïvely jumping", "aaaaaa ababab"]
+    assert [np.frombuffer(i, "<u4").tolist() for i, _ in other.texts(texts)] == [library.encode_ordinary(t) for t in texts]
