@@ -31,6 +31,8 @@ from satlink.llm import common as C
 WINDOW = 10
 GRAM = 4
 BLOCK_BYTES = 32 << 20
+#: Whole timestamps: the default of to_json leaves out microseconds.
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -164,25 +166,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
 
 
 def _over_blocks(source: DataFrame, indexes: list, probe, schema: T.StructType, keep: list[str]) -> DataFrame:
-    """Probe each block of the benchmark by itself; a document's hit places and items meet by its row number."""
-    wide = T.StructType([T.StructField("row", T.StringType())] + schema.fields + [T.StructField("places", T.ArrayType(T.LongType()))])
+    """Probe each block of the benchmark by itself; a document's hit places and items meet by a key of its row."""
+    key = C.free_name(source, "key")
+    wide = T.StructType([T.StructField(key, T.StringType())] + schema.fields + [T.StructField("places", T.ArrayType(T.LongType()))])
     # Equal rows give equal hits, so a row is known by its values; its copies are counted and given back.
-    row = F.sha2(F.to_json(F.struct(*source.columns), {"ignoreNullFields": "false"}), 256)
-    source = source.withColumn("row", row)
+    options = {"ignoreNullFields": "false", "timestampFormat": _MICROS, "timestampNTZFormat": _MICROS.removesuffix("XXX")}
+    source = source.withColumn(key, F.sha2(F.to_json(F.struct(*source.columns), options), 256))
     out = None
     for index in indexes:
         run = probe(index, True)
 
-        def with_row(batches, run=run):
+        def with_key(batches, run=run):
             for batch in batches:
                 if batch.num_rows:
                     parts = pa.Table.from_batches(run(iter([batch])))
-                    yield from parts.add_column(0, "row", batch.column("row").cast(pa.string())).combine_chunks().to_batches()
+                    yield from parts.add_column(0, key, batch.column(key).cast(pa.string())).combine_chunks().to_batches()
 
-        part = source.mapInArrow(with_row, wide)
+        part = source.mapInArrow(with_key, wide)
         out = part if out is None else out.unionByName(part)
-    groups = out.groupBy("row").agg(
-        *[F.first(c).alias(c) for c in keep if c != "row"],
+    groups = out.groupBy(key).agg(
+        *[F.first(c).alias(c) for c in keep],
         F.first("n_words").alias("n_words"),
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
@@ -190,5 +193,3 @@ def _over_blocks(source: DataFrame, indexes: list, probe, schema: T.StructType,
     )
     copies = groups.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return copies.select(*[f.name for f in schema.fields])
-
-

@@ -3,7 +3,7 @@ import public_tokenizers as P
 import tiktoken
 
 import corpus_pipeline
-from satlink.llm import byte_bpe
+from satlink.llm import byte_bpe, decontaminate
 from satlink.llm.common import table, work_dir
 
 
@@ -47,3 +47,26 @@ def test_edges_in_every_stage(spark, small_dir):
             docs = spark.read.parquet(to)
             assert name == "byte_bpe" or docs.columns == before
         assert sorted((r.doc_id for r in docs.collect()), key=repr) == sorted(left, key=repr)
+
+
+def test_decontamination_over_several_blocks(spark, small_dir, monkeypatch):
+    """The stage carries its struct of all columns through the path of a large benchmark, too."""
+    items = [r.text for r in table(spark, small_dir, "benchmark").limit(3).collect()]
+    rows = [(1, items[0]), (2, "a clean text"), (2, "a clean text"), (3, None), (None, "no id"), (4, f"x {items[2]} y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'own' as row", "null as source", "'k' as key", "timestamp_micros(1700000000000000 + monotonically_increasing_id()) as at", "array(doc_id, null) as ids"
+    )
+    docs = docs.localCheckpoint()
+    given = {str(r): r for r in docs.collect() if r.doc_id not in (1, 4)}
+    real = decontaminate.contamination
+    calls = []
+
+    def small_blocks(*args, **named):
+        calls.append(len(list(decontaminate.item_blocks(args[1], 300))))
+        return real(*args, **named, block_bytes=300)
+
+    monkeypatch.setattr(decontaminate, "contamination", small_blocks)
+    result = corpus_pipeline.decontamination(spark, docs, small_dir)
+    assert calls[0] > 1 and result.columns == docs.columns
+    got = result.collect()
+    assert len(got) == 4 and {str(r) for r in got} == set(given)
