@@ -70,3 +70,16 @@ def test_decontamination_over_several_blocks(spark, small_dir, monkeypatch):
     assert calls[0] > 1 and result.columns == docs.columns
     got = result.collect()
     assert len(got) == 4 and {str(r) for r in got} == set(given)
+
+
+def test_near_copies_of_similarity_080_to_085_go(spark, small_dir):
+    """Texts of 100 five-word shingles of which 90 (0.818) or 88 (0.786) are shared."""
+    word = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(word)), (2, " ".join(word[:94] + [f"x{i}" for i in range(10)])), (3, " ".join([f"y{i}" for i in range(12)] + word[12:]))]
+    sets = {d: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(100)} for d, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert 0.81 < alike(1, 2) < 0.82 and alike(1, 3) < 0.8 and alike(2, 3) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
+    assert {x[0] for x in brute.components(rows, 5, 80) if x[0] == x[2]} == {1, 3}
