@@ -13,8 +13,10 @@ count, so the suffixes are dealt by content:
 2. Runs go to buckets by that hash: packed with a hash of all their bytes, after every task has
    set aside runs whose bytes it has met earlier. In a bucket, a run with the bytes of an earlier
    run is removed. Runs that share the hash but not all bytes may still share strings; the
-   first of each such kind is asked for.
-3. The bytes of those runs are fetched and dealt by the hash (common ones by whole strings).
+   first of each such kind is asked for. Runs of hot hashes, found in a sample, go to buckets by
+   hash and bytes, and all their kinds are asked for.
+3. The bytes of those runs are fetched and dealt by the hash; those of common hashes string by
+   string, after every task has set aside the strings that it has met earlier.
    There their suffixes are sorted by ``LENGTH`` bytes (prefix doubling); the previous and next
    smaller positions in suffix order give each suffix's longest previous factor, and suffixes
    whose factor reaches ``LENGTH`` are removed.
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,11 @@ LENGTH, GRAM = 100, 32
 FLUSH_BYTES, BUCKET_BYTES = 24 << 20, 16 << 20
 #: Runs of one hash in a bucket from which their strings are dealt one by one.
 COMMON = 4096
+#: A hash is hot, so that its runs go to many buckets, with HOT runs as estimated from a sample of
+#: about SAMPLE_BYTES of files, and HOT_LEAST runs in the sample. Smaller inputs have no hot hash.
+SAMPLE_BYTES, HOT, HOT_LEAST = 32 << 20, 4 * COMMON, 16
+#: Different strings of common hashes that a task compares before it sends their first positions.
+HELD_STRINGS = 100_000
 _VALUES = B.byte_values(False)
 _48 = np.uint64((1 << 48) - 1)
 
@@ -226,8 +234,31 @@ def _base(docs: DataFrame, carry: list[str]) -> DataFrame:
     return docs.select(id_.alias("id"), crc.alias("crc"), F.coalesce("text", F.lit("")).alias("text"), *row)
 
 
-def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
+def hot_keys(base: DataFrame, size: int, length: int, gram: int) -> np.ndarray:
+    """Hashes (48 bits, sorted) with so many different runs that one bucket could not hold them; size: bytes of files."""
+    n = -(-size // SAMPLE_BYTES)
+    if n < 2:
+        return np.zeros(0, np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.merged(batches):
+            r = runs(*C.utf8(batch.column("text")), length, gram)
+            kind = np.unique(np.stack([r["key"] & _48, r["all"] & _48], 1).view(np.int64), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(kind[:, 0]), pa.array(kind[:, 1])], names=["key", "all"])
+
+    sample = base.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == 0).select("text")
+    many = sample.mapInArrow(run, "key long, all long").distinct().groupBy("key").count().where(F.col("count") >= max(HOT_LEAST, HOT / n))
+    return np.array(sorted(r["key"] for r in many.select("key").collect()), np.int64).view(np.uint64)
+
+
+def bucket_of(key: np.ndarray, whole: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each run: equal runs share one, and so do all runs of a hash that is not hot."""
+    return (B.mix(np.where(np.isin(key, hot), B.mix(key) ^ whole, key)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _found(base: DataFrame, buckets: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
     """Steps 1 and 2: removed spans (start, end), and requests for the bytes of runs."""
+    hot = base.sparkSession.sparkContext.broadcast(hot)
 
     def flush(held: list[dict], ids: list, crcs: list) -> Iterator[pa.RecordBatch]:
         r = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
@@ -246,7 +277,7 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
         doc = s >> 40
         spans = np.stack([ids[doc], crc[doc], s - (doc << 40), e - (doc << 40)]) if len(s) else np.zeros((4, 0), np.int64)
         keep = order[first]
-        bucket = (B.mix(key) % np.uint64(buckets)).astype(np.int64)
+        bucket = bucket_of(key, whole, hot.value, buckets)
         keep = keep[np.lexsort((r["start"][keep], r["doc"][keep], bucket[keep]))]
         bucket = bucket[keep]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -295,8 +326,10 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
             k = r["key"][rep]  # sorted
             group = np.cumsum(np.append(True, k[1:] != k[:-1])) - 1
             kinds = np.bincount(group)[group]
-            rep, kinds = rep[kinds > 1], kinds[kinds > 1]
-            yield from rows(r["id"][rep], r["crc"][rep], True, r["key"][rep], kinds > COMMON, r["start"][rep], r["last"][rep] + length, r["place"][rep])
+            wide = np.isin(k, hot.value)  # its other runs are in other buckets
+            ask, common = (kinds > 1) | wide, (kinds > COMMON) | wide
+            rep, common = rep[ask], common[ask]
+            yield from rows(r["id"][rep], r["crc"][rep], True, r["key"][rep], common, r["start"][rep], r["last"][rep] + length, r["place"][rep])
 
         held, now = [], None
         for batch in batches:  # sorted by bucket
@@ -319,34 +352,76 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
 
 
 def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """Step 3, first half: the bytes of requested runs, dealt by hash; those of common hashes string by string."""
+    """Step 3, first half: the bytes of requested runs, dealt by hash; those of common hashes string by string.
+
+    A task sends only the first position of each string of common hashes that it holds; the
+    others are repeats, and their spans pass on as rows of part -1 (start, end) without bytes.
+    """
     wanted = found.where("request").groupBy("id", "crc").agg(F.collect_list(F.struct("key", "common", "start", "end")).alias("wanted"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        later: list[tuple[int, int, int]] = []
+
+        def sent(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(out), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[at : at + 20_000]), schema)], schema=schema)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            part = []
+            if first:
+                data = np.frombuffer(b"".join(x for _, x in first), np.uint8)
+                at = np.arange(len(first)) * length
+                part = (B.mix(B.hash_range(B.prefix(_VALUES[data]), at, at + length)) >> np.uint64(34)).astype(np.int64).tolist()
+            yield from sent([(key, p + 1, *place, place[2] + length, x) for ((key, x), place), p in zip(first.items(), part)])
+            out, now, reach = [], None, -1
+            for id_, crc, start in sorted(set(later)):  # neighbouring strings of a document become one span
+                if (id_, crc) == now and start <= reach:
+                    reach = start + length
+                    out[-1] = (*out[-1][:5], reach, b"")
+                else:
+                    now, reach = (id_, crc), start + length
+                    out.append((id_ ^ crc, -1, id_, crc, start, reach, b""))
+            yield from sent(out)
+            first.clear(), later.clear()
+
         for batch in C.merged(batches):
             out: list[tuple] = []
             for id_, crc, text, wants in zip(*(batch.column(c).to_pylist() for c in ("id", "crc", "text", "wanted"))):
                 data = text.encode()
-                for w in {(w["key"], w["common"], w["start"], w["end"]) for w in wants}:
-                    key, common, start, end = w
+                for key, common, start, end in {(w["key"], w["common"], w["start"], w["end"]) for w in wants}:
                     if not common:
-                        out.append((key, 0, id_, crc, start, data[start:end]))
+                        out.append((key, 0, id_, crc, start, end, data[start:end]))
                         continue
-                    sums = B.prefix(_VALUES[np.frombuffer(data[start:end], np.uint8)])
-                    at = np.arange(end - start - length + 1)
-                    part = (B.mix(B.hash_range(sums, at, at + length)) >> np.uint64(50)).astype(np.int64)
-                    out += [(key, p + 1, id_, crc, start + i, data[start + i : start + i + length]) for i, p in enumerate(part.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
-
-    schema = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("data", pa.binary())])
-    return base.join(wanted, ["id", "crc"]).mapInArrow(fetch, "key long, part int, id long, crc long, start int, data binary")
+                    for i in range(start, end - length + 1):
+                        place, x = (id_, crc, i), (key, data[i : i + length])
+                        known = first.setdefault(x, place)
+                        if known > place:
+                            first[x] = place
+                        if known != place:
+                            later.append(max(known, place))
+                if len(first) >= HELD_STRINGS or len(later) >= 4 * HELD_STRINGS:
+                    yield from flush()
+            yield from sent(out)
+        yield from flush()
+
+    schema = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("data", pa.binary())])
+    return base.join(wanted, ["id", "crc"]).mapInArrow(fetch, "key long, part int, id long, crc long, start int, end int, data binary")
 
 
 def _factors(pieces: DataFrame, length: int) -> DataFrame:
     """Step 3, second half: spans of strings whose longest previous factor reaches ``length``."""
 
-    def solve(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
+    names = ["id", "crc", "start", "end"]
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        passed = pc.equal(t.column("part"), -1)
+        yield from t.filter(passed).select(names).to_batches()
+        t = t.filter(pc.invert(passed)).combine_chunks()
+        if t.num_rows:
+            yield strings(t)
+
+    def strings(t: pa.Table) -> pa.RecordBatch:
         # Rows of equal doc_id and text have asked for the same bytes: they count once.
         at = [t.column(c).to_numpy() for c in ("key", "part", "id", "crc", "start")]
         t = t.filter(pa.array(np.append(True, np.any([x[1:] != x[:-1] for x in at], axis=0)))).combine_chunks()
@@ -361,7 +436,7 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
         shift = piece * (1 << 40)
         s, e = union_spans(start + shift, start + shift + length)
         piece = s >> 40
-        return pa.RecordBatch.from_arrays([t.column("id").combine_chunks().take(pa.array(piece)), t.column("crc").combine_chunks().take(pa.array(piece)), pa.array((s - (piece << 40)).astype(np.int32)), pa.array((e - (piece << 40)).astype(np.int32))], names=["id", "crc", "start", "end"])
+        return pa.RecordBatch.from_arrays([t.column("id").combine_chunks().take(pa.array(piece)), t.column("crc").combine_chunks().take(pa.array(piece)), pa.array((s - (piece << 40)).astype(np.int32)), pa.array((e - (piece << 40)).astype(np.int32))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -370,7 +445,7 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            size += batch.column("data").nbytes
+            size += batch.column("data").nbytes + 32 * batch.num_rows
             if size < 1 << 20:
                 continue
             t = pa.Table.from_batches(held)
@@ -378,11 +453,11 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
             cut = np.flatnonzero((key != key[-1]) | (part != part[-1]))
             cut = int(cut[-1]) + 1 if len(cut) else 0  # the last hash may go on
             if cut:
-                yield solve(t.slice(0, cut))
+                yield from solve(t.slice(0, cut))
             held = t.slice(cut).to_batches()
-            size = sum(b.column("data").nbytes for b in held) if cut else 0
+            size = sum(b.column("data").nbytes + 32 * b.num_rows for b in held) if cut else 0
         if held:
-            yield solve(pa.Table.from_batches(held))
+            yield from solve(pa.Table.from_batches(held))
 
     dealt = pieces.repartition("key", "part").sortWithinPartitions("key", "part", "id", "crc", "start")
     return dealt.mapInArrow(run, "id long, crc long, start int, end int")
@@ -392,8 +467,9 @@ def _with_spans(docs: DataFrame, length: int, gram: int, carry: list[str]) -> Da
     """(id, crc, text, row, starts, ends): every document with its strings to remove, or null."""
     C.python_tasks(docs.sparkSession)
     base = _base(docs, carry)
-    buckets = int(min(1 << 20, max(8, 2 * C.plan_bytes(docs) // BUCKET_BYTES)))
-    found = C.written(_found(base, buckets, length, gram), "suffix-found")
+    size = C.plan_bytes(docs)
+    buckets = int(min(1 << 20, max(8, 2 * size // BUCKET_BYTES)))
+    found = C.written(_found(base, buckets, length, gram, hot_keys(base, size, length, gram)), "suffix-found")
     more = _factors(_fetched(base, found, length), length)
     spans = found.where("not request").select("id", "crc", "start", "end").unionByName(more)
     of_doc = spans.groupBy("id", "crc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))

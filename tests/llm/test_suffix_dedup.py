@@ -59,3 +59,49 @@ def test_equal_neighbours_in_suffix_order_are_the_smaller_positions():
     for length in (1, 2, 3, 5, 16, 20):
         got = np.sort(suffix_dedup.repeated(data, ends, group, length))
         assert got.tolist() == np.flatnonzero(lpf >= length).tolist()
+
+
+def shared_passage(n=400):
+    """Documents with one passage, each in other surroundings."""
+    rng = random.Random(5)
+    text = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
+    passage = text(300)
+    return [(i, text(rng.randint(60, 90)) + passage + text(rng.randint(60, 90))) for i in range(n)]
+
+
+@pytest.mark.parametrize("sample, held", [(1 << 40, 100_000), (20_000, 100_000), (20_000, 500)])
+def test_a_common_passage_is_spread(frame, monkeypatch, sample, held):
+    """Not every document's copy of a string goes to the one task of its hash, nor every run of a hot gram to one bucket."""
+    monkeypatch.setattr(suffix_dedup, "COMMON", 20)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_BYTES", sample)
+    monkeypatch.setattr(suffix_dedup, "HOT", 60)
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 5)
+    monkeypatch.setattr(suffix_dedup, "HELD_STRINGS", held)
+    groups = []
+    real = suffix_dedup._factors
+
+    def counted(pieces, length):
+        dealt = pieces.where("part > 0").groupBy("key", "part").count().agg({"count": "max"}).first()[0]
+        groups.append(dealt)
+        return real(pieces, length)
+
+    monkeypatch.setattr(suffix_dedup, "_factors", counted)
+    rows = shared_passage()
+    got = suffix_dedup.spans(frame(rows).coalesce(2))
+    flat = sorted(((r.doc_id, r.n_bytes, sum(x.end - x.start for x in r.removed), len(r.removed), bytes(r.kept)) for r in got.collect()), key=repr)
+    assert flat == brute.repeats(rows)
+    assert held == 500 or 1 <= groups[0] <= 16
+
+
+def test_runs_of_hot_grams_go_to_many_buckets(frame, monkeypatch):
+    rows = shared_passage()
+    base = suffix_dedup._base(frame(rows), [])
+    assert not len(suffix_dedup.hot_keys(base, 100, 100, 32))
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_BYTES", 50)
+    monkeypatch.setattr(suffix_dedup, "HOT", 200)
+    hot = suffix_dedup.hot_keys(base, 100, 100, 32)
+    assert 1 <= len(hot) <= 8  # the grams at the two edges of the passage
+    key, whole = np.repeat(np.append(hot[:1], np.uint64(7)), 1000), np.tile(np.arange(500, dtype=np.uint64), 4)
+    bucket = suffix_dedup.bucket_of(key, whole, hot, 64)
+    assert len(set(bucket[:1000])) > 32 and len(set(bucket[1000:])) == 1
+    assert (bucket[:500] == bucket[500:1000]).all()
