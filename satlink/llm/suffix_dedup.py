@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by longest-previous-factor arrays over distributed suffix sorting.
+"""Removal of repeated byte strings by hashes of runs and distributed suffix sorting.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts earlier (smaller doc_id, or
 earlier in the same document) leaves. Strings are judged on the input; matches never cross
@@ -17,11 +17,15 @@ count, so the suffixes are dealt by content:
    hash and bytes, and all their kinds are asked for.
 3. The bytes of those runs are fetched and dealt by the hash; those of common hashes string by
    string, after every task has set aside the strings that it has met earlier.
-   There their suffixes are sorted by ``LENGTH`` bytes (prefix doubling); the previous and next
-   smaller positions in suffix order give each suffix's longest previous factor, and suffixes
-   whose factor reaches ``LENGTH`` are removed.
+   There their suffixes are sorted by ``LENGTH`` bytes (prefix doubling; equal ones by position),
+   and a suffix equal to its neighbour before it is removed.
 4. Documents lose the union of their removed strings.
 
+No LPF array is computed here, though the query is named after it: runs are removed by hash (2), and
+what is left by equal neighbours in suffix order (3), which are the positions whose longest previous
+factor reaches ``LENGTH``. ``longest_previous_factor`` (by previous and next smaller positions)
+serves the tests that show it.
+
 Texts are shuffled once (the exchange by document serves both 3 and 4), runs take about 17
 bytes each, and memory is bounded by batches and buckets.
 
