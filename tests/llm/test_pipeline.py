@@ -83,3 +83,13 @@ def test_near_copies_of_similarity_080_to_085_go(spark, small_dir):
     left = corpus_pipeline.near_duplicates(spark, docs, small_dir)
     assert sorted(r.doc_id for r in left.collect()) == [1, 3]
     assert {x[0] for x in brute.components(rows, 5, 80) if x[0] == x[2]} == {1, 3}
+
+
+def test_texts_of_a_shared_doc_id_are_told_apart(spark, small_dir):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(1, text("a")), (1, text("a")), (1, text("b")), (1, text("c")), (0, text("b")), (2, text("a")), (2, text("d")), (None, text("a")), (None, text("a")), (3, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'own' as key", "'own' as id")
+    left = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert left.columns == docs.columns
+    want = [(1, text("a")), (1, text("c")), (0, text("b")), (2, text("d")), (None, text("a")), (None, text("a")), (3, None), (3, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
