@@ -5,12 +5,12 @@ import duckdb
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from satlink.plans.catalog import TABLES  # noqa: E402
 from satlink.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from core_helpers import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,8 +25,3 @@ def duck():
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
     return con
-
-
-def rows(df):
-    """Order-insensitive comparable rows of a Spark DataFrame."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

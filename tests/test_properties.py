@@ -12,7 +12,7 @@ from satlink.plans.catalog import Tables, staged
 from satlink.plans.store import VaultStore
 from satlink.session import run_dir
 
-from conftest import SMALL, rows
+from core_helpers import SMALL, rows
 
 val = st.one_of(st.none(), st.sampled_from(["a", "b"]))
 

@@ -8,7 +8,7 @@ from satlink.sources import shapers as S
 from satlink.sources.json_scan import scan_json
 from satlink.sources.registry import SourceRegistry, scan_source
 
-from conftest import SMALL
+from core_helpers import SMALL
 
 
 def test_landed_payloads_are_gzip_and_round_trip(spark):

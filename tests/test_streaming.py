@@ -8,7 +8,7 @@ from satlink.sources import landing as L
 from satlink.sources import shapers as S
 from satlink.streaming import start_landing_loads
 
-from conftest import SMALL
+from core_helpers import SMALL
 
 
 def test_stream_loads_only_new_files(spark):

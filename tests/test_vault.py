@@ -5,7 +5,7 @@ from satlink.operators.load import load_satellite
 from satlink.plans.store import VaultStore
 from satlink.session import run_dir
 
-from conftest import rows
+from core_helpers import rows
 
 T1, T2, T3 = "2025-01-01 00:00:00", "2025-01-02 00:00:00", "2025-01-03 00:00:00"
 

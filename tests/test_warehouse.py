@@ -7,7 +7,7 @@ from satlink.plans.warehouse import Warehouse
 from satlink.session import run_dir
 from satlink.sources import shapers as S
 
-from conftest import SMALL
+from core_helpers import SMALL
 
 
 def test_two_batch_build_checks_and_marts(spark):
@@ -35,7 +35,7 @@ def test_two_batch_build_checks_and_marts(spark):
 
 def test_incremental_pit_equals_rebuild(spark):
     from satlink.operators import pit as PIT
-    from conftest import rows
+    from core_helpers import rows
     t = Tables(spark, SMALL)
     wh = Warehouse(spark, VaultStore(spark, run_dir(spark, "test-pit-merge")))
     for b, ts in ((1, "2025-01-01 00:00:00"), (2, "2025-01-02 00:00:00")):
@@ -47,7 +47,7 @@ def test_incremental_pit_equals_rebuild(spark):
 
 def test_build_that_died_before_its_pits_is_made_good(spark, monkeypatch):
     from satlink.operators import pit as PIT
-    from conftest import rows
+    from core_helpers import rows
     t = Tables(spark, SMALL)
     pay = {b: {"wikimedia": S.SHAPERS["wikimedia"](source_batch(t, "wikimedia", b))} for b in (1, 2)}
     wh = Warehouse(spark, VaultStore(spark, run_dir(spark, "test-pit-crash")))
