@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, sharding, suffix_dedup, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, mixing, sharding, suffix_dedup, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -81,6 +81,10 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def op12_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_byte_cnn_language": op2_byte_cnn_language,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op9_divideskip_join": op9_divideskip_join,
     "op10_wavelet_shards": op10_wavelet_shards,
+    "op12_source_schedule": op12_source_schedule,
 }
 
 ORACLE_SQL: dict[str, str] = {}
