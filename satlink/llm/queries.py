@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, jaccard_join, language, licenses, mixing, sharding, suffix_dedup, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, hard_negatives, jaccard_join, language, licenses, mixing, sharding, suffix_dedup, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -85,6 +85,14 @@ def op12_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), "embedding"
+    )
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_byte_cnn_language": op2_byte_cnn_language,
@@ -97,6 +105,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_divideskip_join": op9_divideskip_join,
     "op10_wavelet_shards": op10_wavelet_shards,
     "op12_source_schedule": op12_source_schedule,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_hard_negatives": """
+        with rows_in as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        scores as (
+            select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+                   cast(list_inner_product(a.q, b.q) as bigint) as score
+            from rows_in a join rows_in b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+            where a.vec_id % 50 = 0),
+        positives as (
+            select * from scores where same
+            qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+        select p.anchor_id, p.other_id as positive_id,
+               cast(row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as int) as rank,
+               n.other_id as negative_id, p.score as positive_score, n.score as negative_score
+        from positives p join scores n
+          on n.anchor_id = p.anchor_id and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+        qualify row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) <= 3""",
+}
