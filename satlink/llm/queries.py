@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlink.llm import byte_bpe, decontaminate, fingerprint, hard_negatives, jaccard_join, language, licenses, mixing, sharding, suffix_dedup, toxicity, wavelet
+from satlink.llm import byte_bpe, decontaminate, fingerprint, hard_negatives, jaccard_join, language, licenses, mixing, prefix_trie, sharding, suffix_dedup, toxicity, wavelet
 from satlink.llm.common import table, work_dir
 
 
@@ -81,6 +81,10 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op12_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -104,11 +108,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bottom_k_fingerprints": op8_bottom_k_fingerprints,
     "op9_divideskip_join": op9_divideskip_join,
     "op10_wavelet_shards": op10_wavelet_shards,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_source_schedule": op12_source_schedule,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # crc32 bit by bit, as SQL has none; prefixes as lists of (role, text).
+    "op11_prefix_trie": """
+        with own as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                   row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+            from conversations where conv_id is not null),
+        convs as (
+            select conv_id, conv_id - conv_id % 20 as base, count(*) as n,
+                   (4294967295 - list_reduce(
+                        list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+                        lambda crc, byte: list_reduce(
+                            list_prepend(xor(crc, byte), list_transform(range(8), lambda i: cast(i as bigint))),
+                            lambda a, i: case when a % 2 = 1 then xor(a // 2, cast(3988292384 as bigint)) else a // 2 end))) % 4 as h
+            from own group by conv_id),
+        rebuilt as (
+            select c.conv_id, o.pos, o.role, o.text from convs c join own o on o.conv_id = c.base and o.pos <= c.h
+            union all
+            select c.conv_id, o.pos - c.h + least(c.h, coalesce(b.n, 0)), o.role, o.text
+            from convs c join own o on o.conv_id = c.conv_id and o.pos > c.h left join convs b on b.conv_id = c.base),
+        prefixes as (
+            select conv_id, pos as depth, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words,
+                   list({'role': role, 'text': text}) over (partition by conv_id order by pos rows unbounded preceding) as prefix
+            from rebuilt),
+        members as (
+            select conv_id, depth, words, min(conv_id) over (partition by depth, prefix) as node from prefixes
+            union all
+            select conv_id, 0, 0, min(conv_id) over () from convs),
+        lengths as (select conv_id, max(depth) as n from members group by conv_id),
+        nodes as (
+            select m.node, m.depth, count(*) as n_convs, max(m.words) as words,
+                   sha256(coalesce(string_agg(case when l.n = m.depth then cast(m.conv_id as varchar) end, ',' order by m.conv_id), '')) as ends_sha256
+            from members m join lengths l using (conv_id) group by m.node, m.depth),
+        linked as (
+            select n.*, p.node as parent from nodes n left join members p on p.conv_id = n.node and p.depth = n.depth - 1),
+        children as (select parent as node, depth - 1 as depth, count(*) as n from linked where depth > 0 group by 1, 2),
+        full_nodes as (
+            select l.*, coalesce(c.n, 0) as n_children from linked l left join children c on c.node = l.node and c.depth = l.depth),
+        below as (
+            select m.node, m.depth, sum(case when f.n_children = 0 then 1 else 0 end) as n_leaves, sum((f.n_convs - 1) * f.words) as saved
+            from full_nodes f join members m on m.conv_id = f.node and m.depth <= f.depth group by 1, 2)
+        select f.node as conv_id, cast(f.depth as bigint) as depth, f.parent as parent_conv_id, f.n_convs, cast(f.n_children as bigint) as n_children,
+               cast(b.n_leaves as bigint) as n_leaves, cast(b.saved as bigint) as saved_tokens, f.ends_sha256
+        from full_nodes f join below b on b.node = f.node and b.depth = f.depth""",
     "op13_hard_negatives": """
         with rows_in as (
             select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
