@@ -29,15 +29,21 @@ def _load_dt(load_dt) -> Column:
     return (load_dt if isinstance(load_dt, Column) else F.lit(load_dt)).cast("timestamp")
 
 
-def build_hub(df: DataFrame, bkey: Column | str, name: str, load_dt, dedupe_on: str = "hk") -> DataFrame:
+def build_hub(df: DataFrame, bkey: Column | str, name: str, load_dt, dedupe_on: str = "hk",
+              never_null: bool = False) -> DataFrame:
     """One row per business key: ``hk_<name>, <name>_bkey, load_dt``.
 
+    ``never_null``: the caller has left out the rows without a key, so no test of the key is
+    planned. (The optimizer would push it, with all that the key is made of, below the parsing.)
+
     ``dedupe_on="hk"`` (default): one row per hash key, keeping the smallest raw spelling
     (``za``, `` ZA `` and ``ZA`` give one row). ``"raw"``: one row per raw value, as the
     reference codes it (several rows may share one hash key).
     """
     k = _c(bkey).alias("bkey")
-    keys = df.select(k).filter(F.col("bkey").isNotNull())
+    keys = df.select(k)
+    if not never_null:
+        keys = keys.filter(F.col("bkey").isNotNull())
     if dedupe_on == "hk":
         # distinct raw keys first (hash aggregate, partial per task); only the distinct set
         # reaches the sort-based min per standardised key.
@@ -137,7 +143,7 @@ def hub_location(stg_openmeteo: DataFrame, load_dt, dedupe_on: str = "hk") -> Da
     # Few distinct places against many hours: the number texts are made once per place, and
     # after an aggregate, so that the parsing of the payload is not repeated inside them.
     df = stg_openmeteo.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon").distinct()
-    return build_hub(df, location_bkey("lat", "lon"), "location", load_dt, dedupe_on)
+    return build_hub(df, location_bkey("lat", "lon"), "location", load_dt, dedupe_on, never_null=True)
 
 
 def hub_sensor(stg_openaq: DataFrame, load_dt, dedupe_on: str = "hk") -> DataFrame:
@@ -220,6 +226,15 @@ def sat_sensor_measurements(stg_openaq: DataFrame, load_dt, **kw) -> DataFrame:
         load_dt=load_dt, **kw)
 
 
+# Time part of the natural keys that have one, and the prefixes of it that make a period: year,
+# month, day, hour. (A satellite is stored by period; see operators/load.py.)
+PERIODS = {
+    "sat_article_views": ("ts_yyyymmddhh", (4, 6, 8, 10)),
+    "sat_country_indicator_values": ("year", (4,)),
+    "sat_weather_hourly": ("ts", (4, 7, 10, 13)),
+    "sat_sensor_measurements": ("date_utc", (4, 7, 10, 13)),
+}
+
 # Load mode per satellite, as configured in the reference (G14 is the disabled upsert
 # variant of the country-indicator satellite: same builder, mode "upsert").
 SATELLITES = {

@@ -20,7 +20,7 @@ from satlink.operators import marts as M
 from satlink.operators import pit as PIT
 from satlink.operators import vault as V
 from satlink.operators.joins import null_aware_anti_join
-from satlink.operators.load import load_satellite
+from satlink.operators.load import Period, load_satellite
 from satlink.plans import oracle as O
 from satlink.plans.store import VaultStore, materialize
 from satlink.plans.warehouse import Warehouse
@@ -187,8 +187,9 @@ def two_loads(spark, sf_dir, sat: str, mode: str | None = None) -> DataFrame:
     mode = mode or default_mode
     t = Tables(spark, sf_dir)
     store = VaultStore(spark, run_dir(spark, "vault"))
-    load_satellite(fn(staged(t, src, 1), LOAD_DT_1), store, sat, mode)
-    return load_satellite(fn(staged(t, src, 2), LOAD_DT_2), store, sat, mode)
+    how = {"period": Period(*V.PERIODS[sat]) if sat in V.PERIODS else None, "on_write": "merge"}
+    load_satellite(fn(staged(t, src, 1), LOAD_DT_1), store, sat, mode, **how)
+    return load_satellite(fn(staged(t, src, 2), LOAD_DT_2), store, sat, mode, **how)
 
 
 def _sat(sat: str, mode: str | None = None):

@@ -10,7 +10,12 @@ Kinds, applied oldest to newest from the newest complete ``base``:
 * ``base``  — the whole table (``table`` materialisation, compaction, big upserts);
 * ``delta`` — rows appended to the buckets it contains (append loads, new hub keys);
 * ``patch`` — replaces the buckets it contains (upserts that touch few buckets), so an
-  upsert rewrites the touched buckets instead of the whole table.
+  upsert rewrites the touched buckets instead of the whole table;
+* ``merge`` — rows that replace every older row of their key (merge-on-read): an upsert writes
+  only its batch, and ``read`` leaves out what newer merges replaced, by one anti-join with the
+  keys of the merges, only in buckets that have some. A merge may also delete keys;
+* ``fold``  — the same rows as before, resolved, for the buckets it contains: what ``fold`` writes
+  when merges have piled up. Nothing derived from the table needs to follow it.
 
 One writer per table: two writers that start from the same state would take the same version.
 Nothing is ever written over a folder that is being read. Reads go back to the files, so
@@ -23,12 +28,18 @@ from __future__ import annotations
 import re
 import uuid
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructType
 
 from satlink.session import work_root
 
-_SEG = re.compile(r"^(\d{8})-(base|delta|patch)$")
+_SEG = re.compile(r"^(\d{8})-(base|delta|patch|merge|fold)$")
 _ALL = "*"
+#: Marks the rows of a merge segment that delete their key; never part of what ``read`` returns.
+GONE = "__gone"
 
 
 class VaultStore:
@@ -76,29 +87,32 @@ class VaultStore:
             return leaves
         return {_ALL: seg_path} if has_files else {}
 
-    def segments(self, table: str) -> list[tuple[str, str]]:
-        """(kind, path) of the complete segments making up the current state."""
-        segs = [s for s in self._list(table) if s[2]]
+    def segments(self, table: str, as_of: int | None = None) -> list[tuple[str, str]]:
+        """(kind, path) of the complete segments making up the current state, or that of version ``as_of``."""
+        segs = [s for s in self._list(table) if s[2] and (as_of is None or s[0] <= as_of)]
         base_idx = max((i for i, s in enumerate(segs) if s[1] == "base"), default=None)
         if base_idx is None:
             return []
         return [(k, f"{self.root}/{table}/{v:08d}-{k}") for v, k, _ in segs[base_idx:]]
 
-    def paths(self, table: str, buckets: set[str] | None = None) -> list[str]:
-        """Folders holding the current rows (of ``buckets`` only, when given)."""
-        current: dict[str, list[str]] = {}
-        for kind, path in self.segments(table):
+    def _state(self, table: str, buckets: set[str] | None = None, as_of: int | None = None) -> dict[str, list[tuple[str, str]]]:
+        """bucket -> (kind, folder) of the segments that hold its rows, oldest first."""
+        current: dict[str, list[tuple[str, str]]] = {}
+        for kind, path in self.segments(table, as_of):
             leaves = self._leaves(path)
             if kind == "base":
-                current = {b: [p] for b, p in leaves.items()}
-            elif kind == "delta":
+                current = {b: [(kind, p)] for b, p in leaves.items()}
+            elif kind in ("delta", "merge"):
                 for b, p in leaves.items():
-                    current.setdefault(b, []).append(p)
-            else:  # patch: its buckets replace what was there
+                    current.setdefault(b, []).append((kind, p))
+            else:  # patch, fold: their buckets replace what was there
                 for b, p in leaves.items():
-                    current[b] = [p]
-        return [p for b, ps in sorted(current.items())
-                if buckets is None or b in buckets or b == _ALL for p in ps]
+                    current[b] = [(kind, p)]
+        return {b: ps for b, ps in sorted(current.items()) if buckets is None or b in buckets or b == _ALL}
+
+    def paths(self, table: str, buckets: set[str] | None = None) -> list[str]:
+        """Folders holding the current rows (of ``buckets`` only, when given)."""
+        return [p for ps in self._state(table, buckets).values() for _, p in ps]
 
     def buckets(self, table: str) -> set[str]:
         return {b for _, path in self.segments(table) for b in self._leaves(path)} - {_ALL}
@@ -107,11 +121,40 @@ class VaultStore:
         return bool(self.segments(table))
 
     # -- read / write -----------------------------------------------------------------
-    def read(self, table: str, buckets: set[str] | None = None) -> DataFrame | None:
-        paths = self.paths(table, buckets)
-        if not paths:
-            return None
-        return self.spark.read.parquet(*paths)
+    def read(self, table: str, buckets: set[str] | None = None, as_of: int | None = None) -> DataFrame | None:
+        """The rows of a table (of some buckets, of an older version); None where there are no files."""
+        state = self._state(table, buckets, as_of)
+        merged = {b: ps for b, ps in state.items() if any(k == "merge" for k, _ in ps)}
+        plain = [p for b, ps in state.items() if b not in merged for _, p in ps]
+        if not merged:
+            return self.spark.read.parquet(*plain) if plain else None
+        schema = self._schema(table)
+        rows = self._resolved(table, merged, schema)
+        return rows.unionByName(self.spark.read.schema(schema).parquet(*plain)) if plain else rows
+
+    def _schema(self, table: str) -> StructType:
+        """Columns of a table, without the mark of deletions that merges may carry."""
+        path = next(p for ps in self._state(table).values() for _, p in ps)
+        return StructType([f for f in self.spark.read.parquet(path).schema if f.name != GONE])
+
+    def _resolved(self, table: str, merged: dict[str, list[tuple[str, str]]], schema: StructType) -> DataFrame:
+        """Rows of buckets with merges: a row stays unless a newer merge has its key."""
+        keys, null_safe = self.merge_keys(table)
+        marked = StructType([*schema.fields]).add(GONE, BooleanType())
+        version = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})-[a-z]+/", 1).cast("int").alias("__version")
+
+        def scan(paths, *columns):
+            return self.spark.read.schema(marked).parquet(*paths).select(*columns, version)
+
+        rows = scan([p for ps in merged.values() for _, p in ps], *marked.names)
+        newer = scan([p for ps in merged.values() for k, p in ps if k == "merge"], *[F.col(k).alias(f"__{k}") for k in keys])
+        if not null_safe:  # a NULL key replaces nothing
+            newer = newer.dropna(subset=[f"__{k}" for k in keys])
+        newest = newer.groupBy(*[f"__{k}" for k in keys]).agg(F.max("__version").alias("__newest"))
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) if null_safe else F.col(k) == F.col(f"__{k}") for k in keys]
+        kept = rows.join(newest, reduce(lambda a, b: a & b, same), "left")
+        kept = kept.filter((F.col("__newest").isNull() | (F.col("__version") >= F.col("__newest"))) & ~F.coalesce(F.col(GONE), F.lit(False)))
+        return kept.select(*schema.names)
 
     def _next(self, table: str, kind: str) -> str:
         segs = self._list(table)
@@ -137,6 +180,41 @@ class VaultStore:
         """Replace every bucket present in ``df`` (``df`` holds their complete new content)."""
         return self._write(df, table, "patch", bucket_col)
 
+    def write_merge(self, df: DataFrame, table: str, keys: list[str], bucket_col: str | None = None, null_safe: bool = False) -> DataFrame:
+        """Add rows that replace all older rows of their ``keys``; rows with a true ``GONE`` column only delete.
+
+        All rows of a key must lie in one bucket. ``null_safe``: NULL keys are keys (of derived
+        tables); otherwise a row with a NULL key is added and replaces nothing.
+        """
+        if not self.exists(table):
+            return self.write_base(df.filter(~F.coalesce(F.col(GONE), F.lit(False))).drop(GONE) if GONE in df.columns else df, table, bucket_col)
+        self.mark(f"merge_on/{table}/{'nullsafe' if null_safe else 'equal'}-{','.join(keys)}")
+        return self._write(df, table, "merge", bucket_col)
+
+    def merge_keys(self, table: str) -> tuple[list[str], bool]:
+        """The key columns of a table with merges, and whether NULLs are keys, too."""
+        fs, p = self._fs_path(f"{self.root}/_markers/merge_on/{table}")
+        how, names = sorted(st.getPath().getName() for st in fs.listStatus(p))[0].split("-", 1)
+        return names.split(","), how == "nullsafe"
+
+    def merges(self, table: str) -> dict[str, int]:
+        """bucket -> number of merges that a read of it has to resolve."""
+        counts = {b: sum(k == "merge" for k, _ in ps) for b, ps in self._state(table).items()}
+        return {b: n for b, n in counts.items() if n}
+
+    def fold(self, table: str, after: int = 0, bucket=None) -> set[str]:
+        """Resolve buckets with more than ``after`` merges into a ``fold``; returns those buckets.
+
+        ``bucket``: the bucket column recomputed from the rows (it is not stored in the files).
+        """
+        due = {b for b, n in self.merges(table).items() if n > after}
+        if due == {_ALL}:
+            self.compact(table)
+        elif due:
+            col = self.bucket_column(table)
+            self._write(self.read(table, due).withColumn(col, bucket).hint("rebalance", col), table, "fold", col)
+        return due
+
     def write_scratch(self, df: DataFrame, table: str, label: str) -> DataFrame:
         """Write an intermediate of a load of ``table`` once and read it back (lineage cut)."""
         path = f"{self.scratch}/{table}/{label}-{uuid.uuid4().hex}"
@@ -154,14 +232,31 @@ class VaultStore:
         """Number of the newest complete segment, 0 when there is none."""
         return max((v for v, _, done in self._list(table) if done), default=0)
 
-    def changes_since(self, table: str, version: int) -> DataFrame | None:
-        """Rows appended after ``version``; None when some segment since then replaced rows."""
-        segs = [(k, f"{self.root}/{table}/{v:08d}-{k}") for v, k, done in self._list(table) if done and v > version]
-        if any(kind != "delta" for kind, _ in segs):
+    def _since(self, table: str, version: int, kinds: tuple[str, ...]) -> list[str] | None:
+        """Folders of what was added after ``version``; None when that is not known from ``kinds`` alone."""
+        segs = self._list(table)
+        if not segs or version < segs[0][0]:
+            return None  # segments since then may have been vacuumed
+        added = [(v, k) for v, k, done in segs if done and v > version and k != "fold" and not self.marked(f"neutral/{table}/{v:08d}")]
+        if any(k not in kinds for _, k in added):
             return None
-        paths = [p for _, path in segs for p in self._leaves(path).values()]
-        schema = self.read(table).schema
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return [f"{self.root}/{table}/{v:08d}-{k}" for v, k in added]
+
+    def changes_since(self, table: str, version: int, kinds: tuple[str, ...] = ("delta",)) -> DataFrame | None:
+        """Rows added after ``version`` by segments of ``kinds``; None when others changed rows, too.
+
+        Folds and compactions change no rows and are passed over.
+        """
+        paths = self._since(table, version, kinds)
+        if paths is None:
+            return None
+        schema = self._schema(table)
+        leaves = [p for path in paths for p in self._leaves(path).values()]
+        return self.spark.read.schema(schema).parquet(*leaves) if leaves else self.spark.createDataFrame([], schema)
+
+    def buckets_since(self, table: str, version: int, kinds: tuple[str, ...] = ("delta", "merge")) -> set[str]:
+        """Buckets that segments after ``version`` added rows to."""
+        return {b for path in self._since(table, version, kinds) or [] for b in self._leaves(path)}
 
     def note_covers(self, derived: str, source: str, version: int) -> None:
         """Record that the newest segment of ``derived`` is made from ``source`` up to ``version``."""
@@ -241,7 +336,10 @@ class VaultStore:
             df = df.withColumn(col, bucket_expr).hint("rebalance", col)
         elif files:
             df = df.coalesce(files)
-        return self.write_base(df, table, col)
+        out = self.write_base(df, table, col)
+        # The same rows as before: what is derived from them needs no rebuild. (Without the mark it gets one.)
+        self.mark(f"neutral/{table}/{self.version(table):08d}")
+        return out
 
 
 def materialize(df: DataFrame, name: str, how: str = "view", store: VaultStore | None = None) -> DataFrame:

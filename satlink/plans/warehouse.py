@@ -1,19 +1,33 @@
 """The build in dependency order: payloads -> staging -> hubs, links, satellites -> PIT -> marts.
 
 ``Warehouse`` is what a user runs: ``build()`` loads one batch of payloads per source into
-the store (new hub and link keys appended, satellites loaded incrementally), and refreshes
-the PITs: each PIT records the satellite version it covers, so a refresh merges the aggregate
-of *all* rows appended since (sum and max are mergeable), also those of a build that died
-before its PITs, rebuilds after rows were replaced, and does nothing when nothing changed.
-Earthquakes are kept by ``feature_id`` (the newest load wins), so overlapping feeds and replays
-count once.  ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
+the store (new hub and link keys appended, satellites loaded incrementally, stored by period
+where their key has a time part), and refreshes the PITs. Each PIT records the version of its
+source that it covers, so a refresh takes up *all* that was added since, also by a build that
+died before its PITs, and does nothing when nothing changed:
+
+* sum and max over append-only satellites are merged from the added rows;
+* other aggregates are computed anew for the groups that were touched: those of the added rows
+  and those that replaced rows were in before. Only the periods of those groups are read, and
+  only groups whose row differs are written (a group without rows is deleted);
+* a PIT without a record, or whose source was rewritten, is rebuilt.
+
+Both write merge segments, so a refresh costs what the batch touches, not the PIT.
+Earthquakes are kept by ``feature_id`` (the newest load wins): an upsert of the events of the feed,
+so overlapping feeds and replays count once, and an event that moves to another day corrects both
+days.  ``run_checks()`` evaluates the data tests on what was built. Staging of each source is
 flattened once per build and written as Parquet (compacted), so hubs, links and
 satellites fan out from files instead of re-parsing every payload three times.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satlink.operators import checks as C
@@ -22,8 +36,8 @@ from satlink.operators import pit as PIT
 from satlink.operators import vault as V
 from satlink.operators.flatten import FLATTENERS
 from satlink.operators.joins import anti_join
-from satlink.operators.load import fits_broadcast, load_satellite_delta
-from satlink.plans.store import VaultStore
+from satlink.operators.load import FOLD_AFTER, NULL_BUCKET, OTHER_PERIOD, Period, fits_broadcast, layout_of, load_satellite_delta
+from satlink.plans.store import GONE, VaultStore
 
 
 # PIT name -> (satellite, builder, keys, mergeable measures).
@@ -35,27 +49,58 @@ PITS = {
 }
 
 
-# PITs over tables whose rows are replaced: rebuilt when the table has changed.
-REBUILT_PITS = {
-    "pit_weather_day": ("sat_weather_hourly", PIT.pit_weather_day),
-    "pit_sensor_hour": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "hour")),
-    "pit_sensor_day": ("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, "day")),
-    "pit_commit_day": ("sat_commit_meta", PIT.pit_commit_day),
-    "pit_quake_day": ("quakes", PIT.pit_quake_day),
+@dataclass(frozen=True)
+class GroupedPit:
+    """A PIT whose aggregates cannot be merged: touched groups are computed anew.
+
+    ``groups``: the PIT's key columns as expressions over the source; ``key``: what identifies a
+    source row (a newer row of a key replaces the older one); ``time``: the group column that is a
+    prefix of the source's time, if any.
+    """
+
+    source: str
+    build: Callable[[DataFrame], DataFrame]
+    groups: Callable[[], dict[str, Column]]
+    key: str = V.HASH_NK
+    time: str | None = None
+
+
+def _sensor_pit(grain: str) -> GroupedPit:
+    width = {"hour": 13, "day": 10}[grain]
+    return GroupedPit("sat_sensor_measurements", lambda s: PIT.pit_sensor(s, grain),
+                      lambda: {"hk_sensor": F.col("hk_sensor"), "parameter": F.col("parameter"), grain: F.substring("date_utc", 1, width)}, time=grain)
+
+
+# PITs over tables whose rows are replaced.
+GROUPED_PITS = {
+    "pit_weather_day": GroupedPit("sat_weather_hourly", PIT.pit_weather_day,
+                                  lambda: {"hk_location": F.col("hk_location"), "day": F.substring("ts", 1, 10)}, time="day"),
+    "pit_sensor_hour": _sensor_pit("hour"),
+    "pit_sensor_day": _sensor_pit("day"),
+    "pit_commit_day": GroupedPit("sat_commit_meta", PIT.pit_commit_day, lambda: {"day": F.substring("author_date", 1, 10)}),
+    "pit_quake_day": GroupedPit("quakes", PIT.pit_quake_day, lambda: {"day": PIT.quake_day("epoch_ms")}, key="quake_key"),
 }
+#: Merges of a PIT that a read resolves before they are folded.
+PIT_FOLD_AFTER = 16
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of ``left`` whose ``names`` occur in ``right``, NULL equal to NULL."""
+    other = right.select(*[F.col(n).alias(f"__g_{n}") for n in names]).distinct()
+    return left.join(other, reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__g_{n}")) for n in names]), "left_semi")
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, store: VaultStore | None = None,
                  sat_modes: dict[str, str] | None = None, load_options: dict | None = None, **sat_options):
         """``sat_modes``: satellite -> "append" | "upsert" (defaults as configured);
-        ``load_options``: passed to ``load_satellite`` (compare, on_collision, bucket_chars);
+        ``load_options``: passed to ``load_satellite`` (compare, on_collision, bucket_chars, on_write, fold_after);
         ``sat_options``: passed to the satellite builders (reject_null_keys, dedupe)."""
         self.spark = spark
         self.store = store or VaultStore(spark)
         self.sat_modes = {k: m for k, (_, _, m) in V.SATELLITES.items()}
         self.sat_modes.update(sat_modes or {})
-        self.load_options = dict(load_options or {})
+        self.load_options = {"on_write": "merge", **(load_options or {})}
         self.sat_options = sat_options
 
     def stage(self, source: str, payloads: DataFrame, persist: bool = True) -> DataFrame:
@@ -85,51 +130,117 @@ class Warehouse:
         for name, (fn, src, _) in V.SATELLITES.items():
             if src in stg:
                 batch = fn(stg[src], load_dt, **self.sat_options)
-                table, _, _ = load_satellite_delta(batch, self.store, name, self.sat_modes[name], **self.load_options)
+                period = Period(*V.PERIODS[name]) if name in V.PERIODS else None
+                table, _, _ = load_satellite_delta(batch, self.store, name, self.sat_modes[name], **{"period": period, **self.load_options})
                 if table is not None:
                     out[name] = table
         if "usgs" in stg:
             self._load_quakes(stg["usgs"], load_dt)
         out.update(self.refresh_pits())
         self.store.clear_scratch()
-        for name in [f"stg_{s}" for s in payloads] + ["quakes", *PITS, *REBUILT_PITS]:
+        for name in [f"stg_{s}" for s in payloads] + ["quakes", *PITS, *GROUPED_PITS]:
             self.store.vacuum(name)
         return out
 
     def _load_quakes(self, stg: DataFrame, load_dt) -> None:
-        """Keep one row per earthquake: that of the newest load, the largest row if it has several."""
+        """Keep one row per earthquake: that of the newest load, the largest row if it has several.
+
+        The events of the feed are compared with their stored rows in the buckets they fall in;
+        only those that are new or newer are written, as a merge.
+        """
         new = stg.select("feature_id", "epoch_ms", "magnitude").withColumn("load_dt", F.lit(load_dt).cast("timestamp"))
-        old = self.store.read("quakes")
-        both = new if old is None else old.unionByName(new)
         # Features without id cannot be told apart: equal rows count once.
         key = F.coalesce(F.col("feature_id"), F.concat_ws("|", F.lit(""), F.col("epoch_ms").cast("string"), F.col("magnitude").cast("string")))
-        best = F.max_by(F.struct("feature_id", "epoch_ms", "magnitude", "load_dt"), F.struct("load_dt", "epoch_ms", "magnitude"))
-        self.store.write_base(both.groupBy(key.alias("__key")).agg(best.alias("q")).select("q.*"), "quakes")
+        order = F.struct("load_dt", "epoch_ms", "magnitude")
+        best = F.max_by(F.struct("feature_id", "epoch_ms", "magnitude", "load_dt"), order)
+        new = new.withColumn("quake_key", F.sha2(key, 256)).groupBy("quake_key").agg(best.alias("q")).select("quake_key", "q.*")
+        new = self.store.write_scratch(new, "quakes", "batch")
+        if new.isEmpty():
+            return
+        layout = layout_of(new, self.store, "quakes", "quake_key")
+        stored = self.store.read("quakes", layout.touched(new))
+        if stored is not None:
+            known = stored.select("quake_key", order.alias("__stored"))
+            if fits_broadcast(new, ["quake_key"]):
+                known = known.join(F.broadcast(new.select("quake_key")), "quake_key", "left_semi")
+            new = new.join(known, "quake_key", "left").filter(F.col("__stored").isNull() | (order > F.col("__stored"))).drop("__stored")
+        self.store.write_merge(layout.deal(new), "quakes", ["quake_key"], "nk_bucket")
+        self.store.fold("quakes", self.load_options.get("fold_after", FOLD_AFTER), layout.bucket())
 
     def refresh_pits(self) -> dict[str, DataFrame]:
         """Bring every PIT up to its source table; safe to call again after a failure."""
         out = {}
         for name, (source, fn, keys, measures) in PITS.items():
             if self.store.exists(source):
-                out[name] = self._refresh(name, source, fn, keys, measures)
-        for name, (source, fn) in REBUILT_PITS.items():
-            if self.store.exists(source):
-                out[name] = self._refresh(name, source, fn)
+                out[name] = self._refresh(name, source, fn, lambda covered, n=name, a=(source, fn, keys, measures): self._merge_added(n, *a, covered))
+        for name, pit in GROUPED_PITS.items():
+            if self.store.exists(pit.source):
+                out[name] = self._refresh(name, pit.source, pit.build, lambda covered, n=name, p=pit: self._replace_touched(n, p, covered))
         return out
 
-    def _refresh(self, name, source, fn, keys=None, measures=None) -> DataFrame:
+    def _refresh(self, name: str, source: str, fn, catch_up: Callable[[int], bool]) -> DataFrame:
+        """``catch_up`` takes up what was added since a version, or returns False where it cannot."""
         now = self.store.version(source)
         covered = self.store.covers(name, source) if self.store.exists(name) else None
         if covered == now:
             return self.store.read(name)
-        added = self.store.changes_since(source, covered) if covered is not None and keys else None
-        if added is not None:
-            self.store.write_base(PIT.merge_pit(self.store.read(name), fn(added), keys, measures), name)
-        else:
+        if covered is None or not catch_up(covered):
             self.store.write_base(fn(self.store.read(source)), name)
+        self.store.fold(name, PIT_FOLD_AFTER)
+        # After the segment: a build that dies between them leaves no record, and the PIT is rebuilt.
         self.store.note_covers(name, source, now)
         return self.store.read(name)
 
+    def _merge_added(self, name, source, fn, keys, measures, covered: int) -> bool:
+        added = self.store.changes_since(source, covered)
+        if added is None:
+            return False
+        delta = self.store.write_scratch(fn(added), name, "delta")
+        if not delta.isEmpty():
+            old = self.store.read(name)
+            self.store.write_merge(PIT.merge_pit(_same(old, delta, keys), delta, keys, measures).select(*old.columns), name, keys, null_safe=True)
+        return True
+
+    def _replace_touched(self, name: str, pit: GroupedPit, covered: int) -> bool:
+        added = self.store.changes_since(pit.source, covered, ("delta", "merge"))
+        if added is None:
+            return False
+        groups = pit.groups()
+        names = list(groups)
+        columns = [c.alias(n) for n, c in groups.items()]
+        touched = added.select(*columns)
+        before = self.store.read(pit.source, self.store.buckets_since(pit.source, covered), as_of=covered)
+        if before is not None:  # a row that is replaced leaves the group it was in
+            keys = added.select(pit.key).dropna().distinct()
+            touched = touched.unionByName(before.join(keys, pit.key, "left_semi").select(*columns))
+        touched = self.store.write_scratch(touched.distinct(), name, "touched")
+        if touched.isEmpty():
+            return True
+        rows = self.store.read(pit.source, self._buckets_of(pit, touched))
+        marked = touched.select(*[F.col(n).alias(f"__g_{n}") for n in names])
+        rows = rows.join(marked, reduce(lambda a, b: a & b, [c.eqNullSafe(F.col(f"__g_{n}")) for n, c in groups.items()]), "left_semi")
+        old = self.store.read(name)
+        new, old = pit.build(rows).select(*old.columns), _same(old, touched, names)
+        changed = new.subtract(old).withColumn(GONE, F.lit(False))
+        gone = old.select(*names).subtract(new.select(*names)).withColumn(GONE, F.lit(True))
+        changed = self.store.write_scratch(changed.unionByName(gone, allowMissingColumns=True), name, "groups")
+        if not changed.isEmpty():
+            self.store.write_merge(changed, name, names, null_safe=True)
+        return True
+
+    def _buckets_of(self, pit: GroupedPit, touched: DataFrame) -> set[str] | None:
+        """Buckets that can hold rows of the touched groups; None for all of them."""
+        names = self.store.buckets(pit.source)
+        if pit.time is None or not all("." in n or n == NULL_BUCKET for n in names):
+            return None
+        # One short text for each day or hour that the batch touched.
+        times = {r[0] for r in touched.select(pit.time).distinct().collect()}
+        if not all(t and re.match(r"[0-9][-0-9T]*$", t) for t in times):
+            return None  # a time that is none may lie in any period
+        periods = {n.rsplit(".", 1)[0] for n in names - {NULL_BUCKET}}
+        wanted = {p for p in periods if p == OTHER_PERIOD or any(t.startswith(p) or p.startswith(t) for t in times)}
+        return {n for n in names if n == NULL_BUCKET or n.rsplit(".", 1)[0] in wanted}
+
     def table(self, name: str) -> DataFrame | None:
         return self.store.read(name)
 
@@ -160,6 +271,6 @@ class Warehouse:
         return out
 
     def run_checks(self) -> DataFrame:
-        names = [*V.HUBS, *V.LINKS, *V.SATELLITES, *PITS, *REBUILT_PITS]
+        names = [*V.HUBS, *V.LINKS, *V.SATELLITES, *PITS, *GROUPED_PITS]
         t = {n: df for n in names if (df := self.store.read(n)) is not None}
         return C.run_checks(C.vault_checks({**t, **self.marts()}))
