@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,8 @@ CACHE_CHUNKS = 350_000
 RANGE_BYTES = 16 << 20
 _JOINED = 1024  # new parts that the tokenizer gets at once
 _BETWEEN = "\0"
-_APART = re.compile(r"(?<=[0-9a-z])([.,])(?= |$)")
+#: A full stop or comma after a letter or digit, before a space. (The mark comes first: it is searched fast.)
+_APART = re.compile(r"([.,])(?<=[0-9a-zß-öø-ÿ].)(?= |$)")
 _MAGIC = b"WMX1"
 
 
@@ -168,6 +170,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = self.tokenizer.model
+        # Bytes as the letters that the vocabulary is written in: printable ones as they are, the rest from 256 on.
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.letters = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.known = C.TwoGenerations(CACHE_CHUNKS)
         # A part of its own that no other text encodes to: a zero byte.
         self.between = self._ids(_BETWEEN)
@@ -193,11 +199,26 @@ class Encoder:
         for part in odd:
             self.known[part] = np.array(self._ids(part), "<u4").tobytes()
         plain = [p for p in new if "\0" not in p and "<|" not in p] if self.joins else []
+        words = [p for p in plain if self._is_word(p)]
+        self.known.update(zip(words, map(self._word, words)))
+        plain = [p for p in plain if p not in self.known]
         for at in range(0, len(plain), _JOINED):
             self._learn(plain[at : at + _JOINED])
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
+    @staticmethod
+    def _is_word(part: str) -> bool:
+        """Whether a part is only letters that normalization leaves as they are: then it is one word to the model."""
+        return part.isalpha() and (part.isascii() or (part == part.lower() and unicodedata.is_normalized("NFC", part))) and part.islower()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word, from the model alone."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        found = [t.id for t in self.words.tokenize(word)]
+        return struct.pack(f"<{len(found)}I", *found)
+
     def _learn(self, parts: list[str]) -> None:
         """Encode parts as one text, the zero byte between them, and cut its ids there."""
         found = self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(parts)], add_special_tokens=False)[0]
