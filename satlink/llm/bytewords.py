@@ -6,8 +6,12 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: A prime field beside it: words that the hash modulo 2**64 cannot tell apart (long regular ones) differ here.
+_PRIME = np.uint64((1 << 31) - 1)
+_ROOT = 1_103_515_245
 _pow = np.ones(1, np.uint64)
 _unpow = np.ones(1, np.uint64)
+_field = np.ones((2, 1), np.uint64)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -21,6 +25,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _pow, _unpow
 
 
+def field_powers(n: int) -> np.ndarray:
+    """Powers of the prime field's base and of its inverse, at least n of each."""
+    global _field
+    while _field.shape[1] < n:
+        size = _field.shape[1]
+        step = [[pow(b, size, int(_PRIME))] for b in (_ROOT, pow(_ROOT, -1, int(_PRIME)))]
+        _field = np.concatenate([_field, _field * np.array(step, np.uint64) % _PRIME], axis=1)
+    return _field
+
+
 def byte_values(fold_case: bool) -> np.ndarray:
     """A random 64-bit value per byte (fixed seed); with fold_case A-Z have those of a-z."""
     values = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
@@ -57,6 +71,7 @@ class Words:
 
     def __init__(self, word_byte: np.ndarray, fold_case: bool = True):
         self.word_byte, self.values = word_byte, byte_values(fold_case)
+        self.field = self.values % _PRIME
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first byte, end byte) of each word, and where each text's words begin (one more entry than texts)."""
@@ -73,7 +88,11 @@ class Words:
         last[cuts - 1] = inside[cuts - 1]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
         h = hash_range(prefix(self.values[data]), start, end)
-        return mix(h + (end - start).astype(np.uint64)), start, end, np.searchsorted(start, offsets)
+        power, back = field_powers(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.field[data] * power[:n] % _PRIME, out=sums[1:])
+        second = (sums[end] - sums[start]) % _PRIME * back[start] % _PRIME
+        return mix(mix(h + (end - start).astype(np.uint64)) + second), start, end, np.searchsorted(start, offsets)
 
 
 def alnum_bytes() -> np.ndarray:

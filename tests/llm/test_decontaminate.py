@@ -27,3 +27,45 @@ def test_empty_tables(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(frame([]), none).collect() == []
     assert [tuple(r) for r in decontaminate.contamination(frame([(1, "a b")]), none).collect()] == [(1, 2, 0, [], False)]
+
+
+def test_many_equal_words_on_both_sides_take_no_square(spark, frame):
+    """5,000 equal words in the item and in the document: every window is looked up once."""
+    import time
+
+    import numpy as np
+
+    from satlink.llm import bytewords as B
+
+    text = "the " * 5000
+    begin = time.process_time()
+    index = decontaminate.Index([("1", text), ("2", text), ("3", "the the")])
+    data = np.frombuffer(text.encode(), np.uint8)
+    words, at, end, first = B.Words(B.alnum_bytes())(data, np.array([0, len(data)]))
+    hit, pairs = decontaminate.hits(index, words, first, data, at, end)
+    assert hit.all() and pairs.tolist() == [[0, 0], [0, 1], [0, 2]] and time.process_time() - begin < 2
+    rows = [(1, text), (2, "the " * 9), (3, "x the the y")]
+    items = [("a", text), ("b", "the the")]
+    got = decontaminate.contamination(frame(rows), spark.createDataFrame(items, "item_id string, text string"))
+    assert brute.rows(got) == brute.leaks(rows, items)
+
+
+def test_several_blocks_collect_no_text(spark, small_dir, docs, frame, monkeypatch):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").limit(12).collect()]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.blocks_of(bench, 300) >= 3
+    monkeypatch.setattr(decontaminate, "Index", None)  # nothing is indexed on the driver
+    rows = docs[:40] + [(-9, items[2][1]), (-9, items[2][1]), (-8, None)]
+    assert brute.rows(decontaminate.contamination(frame(rows), bench, block_bytes=300)) == brute.leaks(rows, items)
+
+
+def test_words_of_equal_hash_are_told_apart(spark, frame, monkeypatch):
+    """Thue-Morse words, which a polynomial hash modulo 2^64 cannot tell apart."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} x"), (2, f"{other} x"), (3, word.upper() + " x")]
+    items = [("i", f"{word} x")]
+    got = decontaminate.contamination(frame(rows), spark.createDataFrame(items, "item_id string, text string"))
+    assert brute.rows(got) == brute.leaks(rows, items) and {r.doc_id for r in got.where("contaminated").collect()} == {1, 3}

@@ -64,7 +64,7 @@ def test_decontamination_over_several_blocks(spark, small_dir, monkeypatch):
     calls = []
 
     def small_blocks(*args, **named):
-        calls.append(len(list(decontaminate.item_blocks(args[1], 300))))
+        calls.append(decontaminate.blocks_of(args[1], 300))
         return real(*args, **named, block_bytes=300)
 
     monkeypatch.setattr(decontaminate, "contamination", small_blocks)
