@@ -210,7 +210,14 @@ class Codec:
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
+def _drop() -> None:
+    for c in _codecs.values():
+        c.db.close()
+    _codecs.clear()
+
+
 def codec(rank_file: str, pattern: str) -> Codec:
+    C.keeps("byte_bpe", _drop)
     if (rank_file, pattern) not in _codecs:
         _codecs[rank_file, pattern] = Codec(rank_file, pattern)
     return _codecs[rank_file, pattern]
@@ -247,4 +254,4 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", di
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + out, names=schema.fieldNames())
 
     columns = [f.name for f in kept] + ([] if any(f.name == text for f in kept) else [text])
-    return docs.select(*[f"`{c}`" for c in columns]).mapInArrow(run, schema)
+    return docs.select(*[f"`{c}`" for c in columns]).mapInArrow(C.task("byte_bpe", run), schema)

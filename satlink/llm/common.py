@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -53,6 +55,40 @@ def python_tasks(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+#: What a Python worker keeps between tasks: operator -> how to drop it. Spark hands a worker from stage to stage.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, drop: Callable[[], None]) -> None:
+    """Tell that ``operator`` keeps something in this worker for its next tasks (caches, models, databases)."""
+    _kept[operator] = drop
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which the allocators of Arrow and C would keep for the worker's next task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def task(operator: str, run: Callable) -> Callable:
+    """A Python task of an operator: first drops what other operators keep in the worker, at its end gives memory back."""
+
+    def begin_and_end(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [o for o in _kept if o != operator]
+        for other in others:
+            _kept.pop(other)()
+        if others:
+            gc.collect()
+            give_back()
+        yield from run(batches)
+        give_back()
+
+    return begin_and_end
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder in the folder that all executors share."""
     return f"{work_root(spark)}/llm/{label}-{uuid.uuid4().hex}"

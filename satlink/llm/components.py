@@ -42,7 +42,7 @@ def stars(links: DataFrame) -> DataFrame:
     keep a node with very many links from gathering in one task.
     """
     C.python_tasks(links.sparkSession)
-    now = C.cut(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_stars, _LINKS).distinct())
+    now = C.cut(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(C.task("components", _stars), _LINKS).distinct())
     state = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -53,7 +53,7 @@ def stars(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         moved = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = C.cut(moved.where("a <> b").mapInArrow(_stars, _LINKS).distinct())
+        now = C.cut(moved.where("a <> b").mapInArrow(C.task("components", _stars), _LINKS).distinct())
         new = now.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
         if (new["n"], new["h"]) == state:
             return now

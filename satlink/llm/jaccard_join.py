@@ -104,7 +104,7 @@ def frequency_sketch(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     arrow = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
     schema = "slice int, counts binary"
     out = np.zeros(CELLS, np.uint64)
-    for r in docs.select("text").mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect():
+    for r in docs.select("text").mapInArrow(C.task("jaccard_join", count), schema).repartition(SLICES, "slice").mapInArrow(C.task("jaccard_join", add), schema).collect():
         out[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["counts"], np.uint64)
     return np.minimum(out, np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
@@ -162,7 +162,7 @@ def _documents(docs: DataFrame, sketch, size: int, percent: int) -> DataFrame:
                 prefix.append(s[np.lexsort((s, sketch.value[(s >> np.uint64(44)).astype(np.int64)]))[:p]].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "k1", "k2", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, k1 long, k2 long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(C.task("jaccard_join", run), "doc_id long, n int, k1 long, k2 long, prefix array<long>")
 
 
 def _lists(reps: DataFrame, sketch) -> DataFrame:
@@ -186,7 +186,7 @@ def _lists(reps: DataFrame, sketch) -> DataFrame:
                 names=["token", "salt", "rep", "n", "rank"],
             )
 
-    return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, salt int, rep long, n int, rank int")
+    return reps.select("rep", "n", "prefix").mapInArrow(C.task("jaccard_join", run), "token long, salt int, rep long, n int, rank int")
 
 
 def _may_link(n, rank, m, other_rank, percent: int):
@@ -275,8 +275,8 @@ def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFr
         close()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = source.select("text", *names).mapInArrow(sets, "x long, y long, role int, root long, doc_id long, shingles binary")
-    return dealt.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(search, "a long, b long").distinct()
+    dealt = source.select("text", *names).mapInArrow(C.task("jaccard_join", sets), "x long, y long, role int, root long, doc_id long, shingles binary")
+    return dealt.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(C.task("jaccard_join", search), "a long, b long").distinct()
 
 
 def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -164,7 +164,7 @@ def fit(docs: DataFrame, learn: Column) -> Network | None:
             yield pa.RecordBatch.from_arrays([pa.array(out_lang, pa.string()), pa.array(out, pa.binary())], names=["lang", "bytes"])
 
     # At most about DOCS_PER_LANGUAGE * WINDOWS_PER_DOC windows a language; copies of a text count once.
-    found = sample.mapInArrow(spread, "lang string, bytes binary").distinct().limit(2 * len(counts) * DOCS_PER_LANGUAGE * WINDOWS_PER_DOC).collect()
+    found = sample.mapInArrow(C.task("language", spread), "lang string, bytes binary").distinct().limit(2 * len(counts) * DOCS_PER_LANGUAGE * WINDOWS_PER_DOC).collect()
     found = sorted((r["lang"], bytes(r["bytes"])) for r in found)
     languages = sorted(counts)
     windows = np.frombuffer(b"".join(b for _, b in found), np.uint8).reshape(-1, WINDOW)
@@ -197,4 +197,4 @@ def predict(docs: DataFrame, network: Network | None, keep: list[str] | None = N
                 score[lettered] = np.clip(total[lettered, best[lettered]], 0, 1)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(lang, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(C.task("language", run), schema)

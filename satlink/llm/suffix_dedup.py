@@ -251,7 +251,7 @@ def hot_keys(base: DataFrame, size: int, length: int, gram: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(kind[:, 0]), pa.array(kind[:, 1])], names=["key", "all"])
 
     sample = base.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == 0).select("text")
-    many = sample.mapInArrow(run, "key long, all long").distinct().groupBy("key").count().where(F.col("count") >= max(HOT_LEAST, HOT / n))
+    many = sample.mapInArrow(C.task("suffix_dedup", run), "key long, all long").distinct().groupBy("key").count().where(F.col("count") >= max(HOT_LEAST, HOT / n))
     return np.array(sorted(r["key"] for r in many.select("key").collect()), np.int64).view(np.uint64)
 
 
@@ -351,8 +351,8 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int, hot: np.ndarra
         if held:
             yield from bucket(held)
 
-    dealt = base.select("id", "crc", "text").mapInArrow(deal, "bucket int, spans boolean, data binary")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "spans").mapInArrow(compare, _FOUND)
+    dealt = base.select("id", "crc", "text").mapInArrow(C.task("suffix_dedup", deal), "bucket int, spans boolean, data binary")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "spans").mapInArrow(C.task("suffix_dedup", compare), _FOUND)
 
 
 def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
@@ -410,7 +410,7 @@ def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
         yield from flush()
 
     schema = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("data", pa.binary())])
-    return base.join(wanted, ["id", "crc"]).mapInArrow(fetch, "key long, part int, id long, crc long, start int, end int, data binary")
+    return base.join(wanted, ["id", "crc"]).mapInArrow(C.task("suffix_dedup", fetch), "key long, part int, id long, crc long, start int, end int, data binary")
 
 
 def _factors(pieces: DataFrame, length: int) -> DataFrame:
@@ -464,7 +464,7 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
             yield from solve(pa.Table.from_batches(held))
 
     dealt = pieces.repartition("key", "part").sortWithinPartitions("key", "part", "id", "crc", "start")
-    return dealt.mapInArrow(run, "id long, crc long, start int, end int")
+    return dealt.mapInArrow(C.task("suffix_dedup", run), "id long, crc long, start int, end int")
 
 
 def _with_spans(docs: DataFrame, length: int, gram: int, carry: list[str]) -> DataFrame:
@@ -496,7 +496,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 kept.append(b"".join([data[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(data)])]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pair), pa.array(kept, pa.binary())], names=schema.fieldNames())
 
-    return _with_spans(docs, length, gram, []).mapInArrow(run, schema)
+    return _with_spans(docs, length, gram, []).mapInArrow(C.task("suffix_dedup", run), schema)
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -527,4 +527,4 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     columns = {c: F.col("row")[c] for c in carry} | {"text": text}
     if "n_chars" in columns:
         columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return rows.mapInArrow(run, schema).select(*[columns[c].alias(c) for c in docs.columns])
+    return rows.mapInArrow(C.task("suffix_dedup", run), schema).select(*[columns[c].alias(c) for c in docs.columns])

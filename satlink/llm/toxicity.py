@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
             u = np.bincount(number, ~positive, len(known)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(p), pa.array(u)], names=["feature", "p", "u"])
 
-    counts = sample.mapInArrow(count, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counts = sample.mapInArrow(C.task("toxicity", count), "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     share = F.lit(n[True] / (n[True] + n[False]))
     expected = share * (F.col("p") + F.col("u"))
     evidence = 2 * (F.col("p") * F.log(F.col("p") / expected) + F.when(F.col("u") > 0, F.col("u") * F.log(F.col("u") / (F.col("p") + F.col("u") - expected))).otherwise(0.0))
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None =
             lists = np.split(place, np.searchsorted(text, np.arange(1, batch.num_rows)))
             yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(lists, pa.list_(pa.int64()))], names=["positive", "places"])
 
-    found = sample.mapInArrow(rows, "positive boolean, places array<long>").orderBy("positive", F.to_json("places")).collect()
+    found = sample.mapInArrow(C.task("toxicity", rows), "positive boolean, places array<long>").orderBy("positive", F.to_json("places")).collect()
     matrix = {True: np.zeros((n[True], len(chosen)), np.float32), False: np.zeros((n[False], len(chosen)), np.float32)}
     at = {True: 0, False: 0}
     for r in found:
@@ -172,4 +172,4 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: lis
             s = 1 / (1 + np.exp(-np.clip(known.value.logits(batch), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(C.task("toxicity", run), schema)

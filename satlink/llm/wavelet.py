@@ -2,12 +2,14 @@
 
 ``write_shards`` deals documents by ranges of doc_id, encodes each range in doc_id order and
 packs every block of about ``SHARD_TOKENS`` ids into one compressed file image: a wavelet
-matrix (one bit-plane per bit of the largest id, zstd per plane) and the documents' ids and
-lengths. Spark's Parquet writer stores the images in the shared folder, one row each, so a
-lost executor only repeats its range. ``read_documents`` opens the images again.
+matrix (one bit-plane per bit of the largest id, in pieces of 32 KiB that are compressed one by
+one), its rank directory (ones before each 512 bits, a sixteenth of the planes) and the documents'
+ids and lengths. Spark's Parquet writer stores the images in the shared folder, one row each, so
+a lost executor only repeats its range. ``read_documents`` opens the images again.
 
 ``Shard`` answers from one image: the id at a position, ids of a range, how often an id
-occurs before a position (rank), where its k-th occurrence is (select), all occurrences.
+occurs before a position (rank), where its k-th occurrence is (select), all occurrences. It
+unpacks only the pieces that an answer touches: one a plane for a rank.
 
 Edge cases: a null or empty text is its end id alone; a null doc_id sorts first and stays
 null; repeated doc_ids are ordered by text; a document longer than a block is a block by
@@ -40,7 +42,12 @@ _JOINED = 1024  # new parts that the tokenizer gets at once
 _BETWEEN = "\0"
 #: A full stop or comma after a letter or digit, before a space. (The mark comes first: it is searched fast.)
 _APART = re.compile(r"([.,])(?<=[0-9a-zß-öø-ÿ].)(?= |$)")
-_MAGIC = b"WMX1"
+_MAGIC = b"WMX2"
+#: Bits between two entries of the rank directory, and bytes of a plane in one compressed piece.
+STEP, PIECE = 512, 32 << 10
+#: Unpacked pieces that an open shard keeps.
+_KEPT = 256
+_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
 # ------------------------------------------------------------------------------ one file
@@ -51,54 +58,89 @@ def pack(ids: np.ndarray, doc_ids: np.ndarray, no_id: np.ndarray, lengths: np.nd
     levels = max(1, int(ids.max()).bit_length()) if n else 1
     now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    zeros, parts = [], [squeeze(np.ascontiguousarray(doc_ids, "<i8").tobytes()), squeeze(np.packbits(no_id).tobytes()), squeeze(lengths.astype("<u4").tobytes())]
+    zeros = []
+    parts = [squeeze(np.ascontiguousarray(doc_ids, "<i8").tobytes()), squeeze(np.packbits(no_id).tobytes()), squeeze(lengths.astype("<u4").tobytes())]
+    directory = []
     for level in range(levels - 1, -1, -1):
         bit = (now & now.dtype.type(1 << level)) != 0
-        parts.append(squeeze(np.packbits(bit, bitorder="little").tobytes()))
+        plane = np.packbits(bit, bitorder="little")
+        parts += [squeeze(plane[at : at + PIECE].tobytes()) for at in range(0, len(plane), PIECE)]
+        directory.append(_directory(plane))
         low = np.compress(~bit, now)
         zeros.append(len(low))
         now = np.concatenate([low, np.compress(bit, now)])
     head = struct.pack(f"<4sQQI{levels}Q{len(parts)}Q", _MAGIC, n, len(doc_ids), levels, *zeros, *map(len, parts))
-    return head + b"".join(parts)
+    return head + b"".join(d.astype("<u4").tobytes() for d in directory) + b"".join(parts)
+
+
+def _directory(plane: np.ndarray) -> np.ndarray:
+    """Ones before each STEP bits of a plane."""
+    ones = np.add.reduceat(_ONES[plane], np.arange(0, len(plane), STEP // 8), dtype=np.int64) if len(plane) else np.zeros(0, np.int64)
+    return np.cumsum(ones) - ones
 
 
 class Shard:
-    """An opened file image."""
+    """An opened file image: what an answer needs is read from the image itself."""
 
     def __init__(self, image: bytes):
         magic, self.n, self.n_docs, self.levels = struct.unpack_from("<4sQQI", image)
         if magic != _MAGIC:
             raise ValueError("not a wavelet-matrix file")
+        self._image = image
         at = struct.calcsize("<4sQQI")
         self.zeros = struct.unpack_from(f"<{self.levels}Q", image, at)
         at += 8 * self.levels
-        sizes = struct.unpack_from(f"<{self.levels + 3}Q", image, at)
+        bytes_ = -(-self.n // 8)
+        self._pieces, steps = -(-bytes_ // PIECE), -(-bytes_ // (STEP // 8))
+        sizes = struct.unpack_from(f"<{3 + self.levels * self._pieces}Q", image, at)
         at += 8 * len(sizes)
-        loose, parts = zstandard.ZstdDecompressor().decompress, []
-        for size in sizes:
-            parts.append(loose(image[at : at + size]))
-            at += size
-        ids = np.frombuffer(parts[0], "<i8")
-        none = np.unpackbits(np.frombuffer(parts[1], np.uint8), count=self.n_docs).astype(bool)
-        self.doc_ids, self.no_id = ids, none
-        self.lengths = np.frombuffer(parts[2], "<u4").astype(np.int64)
-        self.planes = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-        self._ones: list[np.ndarray] | None = None
-
-    # Rank directory: ones before each byte of a plane, built on first use.
+        #: Ones before each step, a view of the file.
+        self.directory = np.frombuffer(image, "<u4", self.levels * steps, at).reshape(self.levels, steps)
+        at += 4 * self.levels * steps
+        self._at = (at + np.cumsum([0, *sizes])).tolist()
+        self._loose = zstandard.ZstdDecompressor().decompress
+        self._open: dict[int, bytes] = {}
+        self.doc_ids = np.frombuffer(self._part(0), "<i8")
+        self.no_id = np.unpackbits(np.frombuffer(self._part(1), np.uint8), count=self.n_docs).astype(bool)
+        self.lengths = np.frombuffer(self._part(2), "<u4").astype(np.int64)
+
+    def _part(self, i: int) -> bytes:
+        return self._loose(self._image[self._at[i] : self._at[i + 1]])
+
+    def _piece(self, level: int, byte: int) -> bytes:
+        """The unpacked piece of a plane that holds a byte."""
+        i = 3 + level * self._pieces + byte // PIECE
+        found = self._open.get(i)
+        if found is None:
+            if len(self._open) >= _KEPT:
+                self._open.clear()
+            found = self._open[i] = self._part(i)
+        return found
+
+    def plane(self, level: int) -> np.ndarray:
+        first = 3 + level * self._pieces
+        return np.frombuffer(b"".join(self._part(i) for i in range(first, first + self._pieces)), np.uint8)
+
     def _before(self, level: int, i: int) -> int:
-        """Ones among the first i bits of a plane."""
-        if self._ones is None:
-            count = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-            self._ones = [np.concatenate([[0], np.cumsum(count[p], dtype=np.int64)]) for p in self.planes]
-        whole, rest = divmod(int(i), 8)
-        out = int(self._ones[level][whole])
-        return out + bin(int(self.planes[level][whole]) & ((1 << rest) - 1)).count("1") if rest else out
+        """Ones among the first i bits of a plane: the directory's entry and the bits since."""
+        step, rest = divmod(i, STEP)
+        if not rest:
+            if i < self.n:
+                return int(self.directory[level][step])
+            return self.n - self.zeros[level]
+        begin = step * (STEP // 8)
+        piece = self._piece(level, begin)
+        begin %= PIECE
+        bits = int.from_bytes(piece[begin : begin + STEP // 8], "little") & ((1 << rest) - 1)
+        return int(self.directory[level][step]) + bits.bit_count()
+
+    def _bit(self, level: int, i: int) -> int:
+        return self._piece(level, i >> 3)[(i >> 3) % PIECE] >> (i & 7) & 1
 
     def __getitem__(self, i: int) -> int:
         value = 0
         for level, zeros in enumerate(self.zeros):
-            bit = int(self.planes[level][i >> 3]) >> (i & 7) & 1
+            bit = self._bit(level, i)
             ones = self._before(level, i)
             i = zeros + ones if bit else i - ones
             value = value << 1 | bit
@@ -145,7 +187,7 @@ class Shard:
         """All ids, in order: the planes undone from the last to the first."""
         now = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
         for level in range(self.levels - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.plane(level), count=self.n, bitorder="little").astype(bool)
             zeros = self.zeros[level]
             back = np.empty_like(now)
             back[np.flatnonzero(~bit)] = now[:zeros]
@@ -233,6 +275,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    C.keeps("wavelet", _encoders.clear)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -278,7 +321,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(ranges, "doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(run, "shard int, part int, n_docs long, n_tokens long, file binary")
+        .mapInArrow(C.task("wavelet", run), "shard int, part int, n_docs long, n_tokens long, file binary")
         .write.option("compression", "uncompressed")
         .parquet(path)
     )
@@ -308,5 +351,5 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     names=["shard", "part", "doc_id", "first", "n_tokens", "ids_crc32"],
                 )
 
-    rows = files.select("shard", "part", "file").mapInArrow(run, "shard int, part int, doc_id long, first long, n_tokens long, ids_crc32 long")
+    rows = files.select("shard", "part", "file").mapInArrow(C.task("wavelet", run), "shard int, part int, doc_id long, first long, n_tokens long, ids_crc32 long")
     return rows.join(starts, ["shard", "part"]).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")

@@ -47,3 +47,30 @@ def test_file_answers(top):
     assert s.rank(top + 5000) == 0
     with pytest.raises(IndexError):
         s.select(0, 10**6)
+
+
+def test_directory_is_small_and_an_answer_opens_few_pieces():
+    """A million ids: the directory takes a sixteenth of the planes, a rank unpacks two pieces a plane at most."""
+    ids = np.random.default_rng(0).zipf(1.3, 1_000_000).clip(max=49_000).astype(np.uint32)
+    image = wavelet.pack(ids, np.array([1, 2]), np.zeros(2, bool), np.array([400_000, 600_000]))
+    s = wavelet.Shard(image)
+    assert s.directory.nbytes < 0.07 * s.levels * len(ids) / 8 and not s._open
+    for token in (1, 7, 49_000):
+        s._open.clear()
+        assert s.rank(token, 654_321) == int((ids[:654_321] == token).sum())
+        assert len(s._open) <= 2 * s.levels < s.levels * s._pieces
+        places = np.flatnonzero(ids == token)
+        assert [s.select(token, k) for k in (0, len(places) // 2, len(places) - 1)] == places[[0, len(places) // 2, -1]].tolist()
+    assert s.rank(7) == int((ids == 7).sum()) and [s[i] for i in (0, 511, 512, 999_999)] == ids[[0, 511, 512, 999_999]].tolist()
+    assert (s.tokens() == ids).all() and s.lengths.tolist() == [400_000, 600_000]
+    assert all(wavelet.Shard(wavelet.pack(ids[:k], np.array([1]), np.zeros(1, bool), np.array([k]))).rank(1) == int((ids[:k] == 1).sum()) for k in (1, 511, 512, 513, 262_144, 262_145))
+
+
+def test_parts_are_encoded_as_the_library_does():
+    """Words, marks, letters that change under normalization, special tokens, in any mixture."""
+    rng = np.random.default_rng(5)
+    letters = list("abXYZ .,!'sßäÖéİıΣς각\u1100\u1161一ﬁǅŉⅠª½5\n\t\u200b<|>\0\u0345ẞÅΩ")
+    texts = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(3000)] + [None, "", "<|endoftext|>x", "a" * 5000]
+    e = wavelet.Encoder(WORDS)
+    got = [np.frombuffer(x, "<u4").tolist() for x in e.texts(texts)]
+    assert got == [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
