@@ -1,11 +1,16 @@
 """Licence scan by a positional index of rare licence words, in built-in expressions only.
 
 ``postings`` splits every whole text into words and keeps, per document, the places of the
-words that any licence template has. From these postings the document frequency of each
-licence word over the whole corpus gives its IDF. Each template is looked up through its
-``ANCHORS`` words of highest IDF: a place of its rarest word proposes where the template
-begins, the other anchors must stand at their relative places (at least ``SHARE`` of them;
-all for a single phrase), and then the mandatory key phrase is verified word by word.
+words that any licence template has, with a code each. From these postings the document
+frequency of each licence word over the whole corpus gives its IDF.
+
+The index has, for the word of highest IDF in each template's mandatory phrase, the postings
+(template, position in it). A file's places of such words are looked up there; each posting
+proposes where its template would begin, and the file's postings around the place are
+intersected with the template's by relative position. A proposal counts when the mandatory
+phrase stands word by word and, for a longer text, ``SHARE`` of its ``ANCHORS`` rarest words
+stand at their places. The work is places of rare words times the length of the templates they
+are rarest in; templates whose rare words a file lacks cost nothing.
 
 Everything about one document happens in its row, so nothing but the few counts of licence
 words is shuffled, and the postings are written once to the shared folder.
@@ -17,12 +22,14 @@ the places null and the score 0; repeated rows each get a row; other columns are
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from satlink.llm import common as C
+from satlink.llm.licence_texts import TEXTS
 
 ANCHORS = 6
 SHARE = 0.8
@@ -63,6 +70,7 @@ TEMPLATES = (
     Template("cc-by-nc-nd", "cc by nc nd", "cc by nc nd"),
     Template("cc-by-sa", "cc by sa", "cc by sa"),
     Template("cc0", "cc0 1 0 universal", "cc0 1 0"),
+    *(Template(label, " ".join(re.findall("[0-9a-z]+", text.lower())), mandatory) for label, mandatory, text in TEXTS),
 )
 
 
@@ -71,80 +79,113 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(f"({WORD})"), F.lit(1))
 
 
+_CODES = (1 << 31) - 1
+
+
+def code_of(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(_CODES)).cast("int")
+
+
+def codes_of(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """The code of each licence word; they differ."""
+    found = docs.sparkSession.range(1).select(F.transform(F.lit(vocabulary), code_of).alias("codes")).first()["codes"]
+    if len(set(found)) < len(vocabulary):
+        raise ValueError("two licence words have one code: change _CODES")
+    return dict(zip(vocabulary, found))
+
+
 def postings(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """Rows (doc_id, n_words, places array<int>, codes array<int>): where which licence words stand."""
     rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    count = F.size("words")
     places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(vocabulary), i)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "words", count.cast("long").alias("n_words"), places.alias("places"))
-    codes = F.transform("places", lambda i: F.array_position(F.lit(vocabulary), F.get(F.col("words"), i)).cast("int") - 1)
+    rows = rows.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), places.alias("places"))
+    codes = F.transform("places", lambda i: code_of(F.get(F.col("words"), i)))
     return rows.select("doc_id", "n_words", "places", codes.alias("codes"))
 
 
-def idf(found: DataFrame, n_docs: int, vocabulary: list[str]) -> dict[str, float]:
+def idf(found: DataFrame, n_docs: int, code: dict[str, int]) -> dict[str, float]:
     """IDF of every licence word over all documents."""
+    word = {c: w for w, c in code.items()}
     rows = found.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy("code").agg(F.count("*").alias("df")).collect()
-    df = {vocabulary[r["code"]]: r["df"] for r in rows}
-    return {w: math.log((1 + n_docs) / (1 + df.get(w, 0))) for w in vocabulary}
-
-
-def _word_at(place: Column, code: int) -> Column:
-    """Whether the licence word stands at the place: looked up in the document's postings."""
-    return F.coalesce(F.get(F.col("codes"), F.array_position(F.col("places"), place).cast("int") - 1) == code, F.lit(False))
-
-
-def starts(template: Template, weight: dict[str, float], code: dict[str, int]) -> Column:
-    """Array of the word places where the template is found in a row of postings."""
-    words, phrase = template.words.split(), template.mandatory.split()
-    at = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-    # Rarest words first; the lookup word must be of the mandatory phrase, so that no place of it is missed.
-    by_rarity = sorted(range(len(words)), key=lambda i: (-weight[words[i]], i))
-    lookup = next(i for i in by_rarity if at <= i < at + len(phrase))
-    anchors = [i for i in by_rarity if i != lookup][: ANCHORS - 1]
-    rare = F.transform(F.arrays_zip("places", "codes"), lambda p: F.when(p["codes"] == code[words[lookup]], p["places"] - lookup))
-    proposed = F.filter(rare, lambda s: s.isNotNull())
-
-    def verified(start: Column) -> Column:
-        votes = sum((_word_at(start + i, code[words[i]]).cast("int") for i in anchors), F.lit(1))
-        exact = F.lit(True)
-        for i in range(at, at + len(phrase)):
-            if i != lookup:
-                exact = exact & _word_at(start + i, code[words[i]])
-        return exact if len(words) == len(phrase) else exact & (votes >= math.ceil(SHARE * (len(anchors) + 1)))
-
-    return F.filter(proposed, verified)
+    df = {word[r["code"]]: r["df"] for r in rows}
+    return {w: math.log((1 + n_docs) / (1 + df.get(w, 0))) for w in code}
+
+
+class Index:
+    """Templates as literal arrays, and the postings of their lookup words."""
+
+    def __init__(self, templates: tuple[Template, ...], weight: dict[str, float], code: dict[str, int]):
+        self.lookup: dict[int, list[tuple[int, int]]] = {}
+        words, weights, total, anchors, need, begin, length = ([] for _ in range(7))
+        for number, t in enumerate(templates):
+            own, phrase = t.words.split(), t.mandatory.split()
+            at = next(i for i in range(len(own)) if own[i : i + len(phrase)] == phrase)
+            # Rarest words first; the lookup word is of the mandatory phrase, so that no place of it is missed.
+            by_rarity = sorted(range(len(own)), key=lambda i: (-weight[own[i]], i))
+            first = next(i for i in by_rarity if at <= i < at + len(phrase))
+            self.lookup.setdefault(code[own[first]], []).append((number, first))
+            chosen = [first, *[i for i in by_rarity if i != first][: ANCHORS - 1]]
+            words.append([code[w] for w in own])
+            weights.append([weight[w] + 1e-9 for w in own])
+            total.append(sum(weights[-1]))
+            anchors.append(chosen)
+            need.append(math.ceil(SHARE * len(chosen)) if len(own) > len(phrase) else 0)
+            begin.append(at)
+            length.append(len(phrase))
+        self.codes = sorted(self.lookup)
+        nested = lambda rows: F.array(*[F.lit(r) for r in rows])
+        self.words, self.weights, self.anchors = nested(words), nested(weights), nested(anchors)
+        self.total, self.need, self.begin, self.length = F.lit(total), F.lit(need), F.lit(begin), F.lit(length)
+        self.is_base, self.label = F.lit([t.base for t in templates]), F.lit([t.label for t in templates])
+        self.postings = F.array(*[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in self.lookup[c]]) for c in self.codes])
+
+    def proposals(self) -> Column:
+        """Array of (j, t, p): the j-th posting of the file is word p of template t, its rarest."""
+        rare = F.filter(F.transform("codes", lambda c, j: F.when(c.isin(self.codes), j)), lambda j: j.isNotNull())
+
+        def looked_up(j: Column) -> Column:
+            own = F.get(self.postings, F.array_position(F.lit(self.codes), F.get(F.col("codes"), j)).cast("int") - 1)
+            return F.transform(own, lambda x: F.struct(j.alias("j"), x["t"].alias("t"), x["p"].alias("p")))
+
+        return F.flatten(F.transform(rare, looked_up))
+
+    def judged(self, proposal: Column) -> Column:
+        """start of the mandatory phrase, label, base, whether it counts, and the IDF share of the template's words at their places."""
+        j, t, p = proposal["j"], proposal["t"], proposal["p"]
+        start = F.get(F.col("places"), j) - p
+        own = F.get(self.words, t)
+        # The posting of the word i places further is at most i postings further.
+        near = lambda column: F.slice(F.col(column), F.greatest(j - p, F.lit(0)) + 1, F.size(own))
+        at = F.zip_with(near("places"), near("codes"), lambda place, c: F.when(F.get(own, place - start) == c, place - start))
+        there = F.filter(at, lambda i: i.isNotNull())
+        begin, length = F.get(self.begin, t), F.get(self.length, t)
+        exact = F.size(F.filter(there, lambda i: (i >= begin) & (i < begin + length))) == length
+        votes = F.size(F.filter(there, lambda i: F.array_contains(F.get(self.anchors, t), i)))
+        heard = F.aggregate(there, F.lit(0.0), lambda acc, i: acc + F.get(F.get(self.weights, t), i)) / F.get(self.total, t)
+        return F.struct((start + begin).alias("start"), F.get(self.label, t).alias("label"), F.get(self.is_base, t).alias("base"),
+                        (exact & (votes >= F.get(self.need, t))).alias("counts"), F.round(F.least(heard, F.lit(1.0)), 9).alias("share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """Rows (doc_id, n_words, base array<struct<start, label>>, found array<struct<start, label>>, score).
 
     ``base`` has all places of base phrases, ``found`` those of the other templates (start of the
-    mandatory phrase). ``score`` is the IDF share of the best document template: 1 for any found.
+    mandatory phrase). ``score`` is the IDF share of the best proposal: the weight of its template's
+    words that stand at their places, of all its words; 1 for a template that stands whole.
     """
     vocabulary = sorted({w for t in templates for w in t.words.split()})
-    code = {w: i for i, w in enumerate(vocabulary)}
+    code = codes_of(docs, vocabulary)
     rows = C.written(postings(docs, vocabulary), "licence-postings")
-    weight = idf(rows, rows.count(), vocabulary)
-    rare = sorted({max((w for w in t.mandatory.split()), key=lambda w: (weight[w], w)) for t in templates})
-    hot = F.lit([code[w] for w in rare])
-    # Only files with some rarest word of a template can match; all others skip the lookups.
-    maybe = F.arrays_overlap("codes", hot)
-
-    def labelled(t: Template) -> Column:
-        return F.transform(starts(t, weight, code), lambda s: F.struct(s.cast("int").alias("start"), F.lit(t.label).alias("label")))
-
-    def hits(chosen: list[Template]) -> Column:
-        nothing = F.array().cast("array<struct<start:int,label:string>>")
-        if not chosen:
-            return nothing
-        return F.when(maybe, F.concat(*[labelled(t) for t in chosen])).otherwise(nothing)
-
-    total = sum(weight.values()) or 1.0
-    known = F.array_distinct("codes")
-    heard = F.aggregate(known, F.lit(0.0), lambda acc, c: acc + F.get(F.lit([weight[w] / total for w in vocabulary]), c))
-    rows = rows.withColumn("base", hits([t for t in templates if t.base])).withColumn("found", hits([t for t in templates if not t.base]))
-    matched = (F.size("base") > 0) | (F.size("found") > 0)
-    return rows.select("doc_id", "n_words", "base", "found", F.when(matched, 1.0).otherwise(F.least(F.lit(0.5), heard)).alias("score"))
+    index = Index(templates, idf(rows, rows.count(), code), code)
+    # Only files with some lookup word can match; all others skip the rest.
+    maybe = F.arrays_overlap("codes", F.lit(index.codes))
+    kind = "array<struct<start:int,label:string,base:boolean,counts:boolean,share:double>>"
+    judged = F.when(maybe, F.transform(index.proposals(), index.judged)).otherwise(F.array().cast(kind))
+    rows = rows.select("doc_id", "n_words", judged.alias("judged"))
+    place = lambda h: F.struct(h["start"].alias("start"), h["label"].alias("label"))
+    hits = lambda base: F.transform(F.filter("judged", lambda h: h["counts"] & (h["base"] == base)), place)
+    best = F.coalesce(F.array_max(F.transform("judged", lambda h: h["share"])), F.lit(0.0))
+    return rows.select("doc_id", "n_words", hits(True).alias("base"), hits(False).alias("found"), best.alias("score"))
 
 
 def labels(hits: Column) -> Column:
