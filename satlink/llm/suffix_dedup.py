@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by hashes of runs and distributed suffix sorting.
+"""Removal of repeated byte strings by longest-previous-factor arrays over dealt suffixes.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts earlier (smaller doc_id, or
 earlier in the same document) leaves. Strings are judged on the input; matches never cross
@@ -17,16 +17,15 @@ count, so the suffixes are dealt by content:
    hash and bytes, and all their kinds are asked for.
 3. The bytes of those runs are fetched and dealt by the hash; those of common hashes string by
    string, after every task has set aside the strings that it has met earlier.
-   There their suffixes are sorted by ``LENGTH`` bytes (prefix doubling; equal ones by position),
-   and a suffix equal to its neighbour before it is removed.
+   There their suffixes are sorted by ``LENGTH`` bytes (prefix doubling; equal ones by position).
+   In suffix order the earlier suffix that matches one furthest is the nearest before or after it
+   with a smaller position; the longer of the two matches is its longest previous factor, and
+   where that reaches ``LENGTH`` the string is removed.
 4. Documents lose the union of their removed strings.
 
-No LPF array is computed here, though the query is named after it: runs are removed by hash (2), and
-what is left by equal neighbours in suffix order (3), which are the positions whose longest previous
-factor reaches ``LENGTH``. ``longest_previous_factor`` (by previous and next smaller positions)
-serves the tests that show it.
+So equal runs leave by their 64-bit hash (2), and all other repeats by the LPF array (3).
 
-Texts are shuffled once (the exchange by document serves both 3 and 4), runs take about 17
+Texts are shuffled once (the exchange by document serves both 3 and 4), runs take about 19
 bytes each, and memory is bounded by batches and buckets.
 
 Edge cases: null and empty texts have no bytes; texts under ``LENGTH`` bytes are kept whole; rows
@@ -52,7 +51,9 @@ from satlink.llm import common as C
 
 LENGTH, GRAM = 100, 32
 #: Text that a map task gathers before it packs its runs, and text of a bucket.
-FLUSH_BYTES, BUCKET_BYTES = 24 << 20, 16 << 20
+FLUSH_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
+#: Text that the numpy code works on at once: it takes some 100 bytes of memory a byte.
+SLICE = (1 << 20) - 1024
 #: Runs of one hash in a bucket from which their strings are dealt one by one.
 COMMON = 4096
 #: A hash is hot, so that its runs go to many buckets, with HOT runs as estimated from a sample of
@@ -66,65 +67,82 @@ _48 = np.uint64((1 << 48) - 1)
 
 # ---------------------------------------------------------------- suffix order within a task
 
-def suffix_order(data: np.ndarray, ends: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank) of the positions with at least ``length`` bytes before their end.
+def suffix_order(data: np.ndarray, ends: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """(suffix array, rank, levels) of the positions with at least ``length`` bytes before their end.
 
     Suffixes are compared within ``length`` bytes and by group first; equal ones have equal ranks
     and stand by position. Prefix doubling: the rank by 2h bytes comes from two ranks by h bytes.
+    ``levels`` has the ranks by 1, 2, 4 ... bytes.
     """
     n = len(data)
     at = np.arange(n)
     left = ends - at
     rank = np.unique(group * 256 + data, return_inverse=True)[1].astype(np.int64) + 1
-    have = 1
+    have, levels = 1, {}
     while have < length:
+        levels[have] = rank.astype(np.uint32) if n < 1 << 32 else rank
         step = min(have, length - have)
         after = np.zeros(n, np.int64)
         ok = left > step
         after[ok] = rank[at[ok] + step]
         rank = np.unique(rank * (n + 2) + after, return_inverse=True)[1].astype(np.int64) + 1
         have += step
+    if not levels:
+        levels[1] = rank
     whole = np.flatnonzero(left >= length)
     sa = whole[np.argsort(rank[whole], kind="stable")]
-    return sa, rank
+    return sa, rank, levels
 
 
 def smaller_neighbours(sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each place of a suffix array, the nearest places before and after with a smaller position (-1: none)."""
-    n = len(sa)
-    before, after, stack = np.full(n, -1), np.full(n, -1), []
-    for i, position in enumerate(sa.tolist()):
-        while stack and sa[stack[-1]] > position:
-            after[stack.pop()] = i
-        if stack:
-            before[i] = stack[-1]
-        stack.append(i)
-    return before, after
-
-
-def longest_previous_factor(data: bytes) -> np.ndarray:
-    """LPF array of one text: the longest match of each suffix that also starts earlier."""
-    text = np.frombuffer(data, np.uint8)
-    n = len(text)
-    order = sorted(range(n), key=lambda i: data[i:])
-    sa = np.array(order, np.int64)
-    common = lambda i, j: next((k for k in range(n - max(i, j)) if data[i + k] != data[j + k]), n - max(i, j))
-    out = np.zeros(n, np.int64)
+    """For each place of a suffix array, the nearest places before and after with a smaller position (-1: none).
+
+    All places at once: who points at a larger position takes over what that one points at, so
+    pointers double their reach with every round.
+    """
+    out = []
+    for values in (sa, sa[::-1]):
+        # Place 0 is a sentinel below all positions.
+        padded = np.concatenate([[-1], values])
+        to = np.arange(-1, len(values))
+        to[0] = 0
+        wrong = np.flatnonzero(padded[to] > padded)
+        while len(wrong):
+            to[wrong] = to[to[wrong]]
+            wrong = wrong[padded[to[wrong]] > padded[wrong]]
+        out.append(to[1:] - 1)
+    before, after = out
+    after = after[::-1]
+    return before, np.where(after >= 0, len(sa) - 1 - after, -1)
+
+
+def match_lengths(levels: dict[int, np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes in which the suffixes from a and b agree (to twice the longest level), from ranks by 1, 2, 4 ... bytes."""
+    n = len(left)
+    most = np.minimum(left[a], left[b])
+    out = np.zeros(len(a), np.int64)
+    longest = max(levels)
+    for h in [longest, *sorted(levels, reverse=True)]:
+        i, j = a + out, b + out
+        ok = (out < most) & (i < n) & (j < n)
+        ok[ok] = levels[h][i[ok]] == levels[h][j[ok]]
+        out[ok] += h
+    return np.minimum(out, most)
+
+
+def longest_previous_factors(sa: np.ndarray, levels: dict[int, np.ndarray], left: np.ndarray) -> np.ndarray:
+    """LPF of each place of the suffix array: its longest match with a suffix of smaller position."""
+    out = np.zeros(len(sa), np.int64)
     for places in smaller_neighbours(sa):
-        for i in np.flatnonzero(places >= 0):
-            out[sa[i]] = max(out[sa[i]], common(int(sa[i]), int(sa[places[i]])))
+        at = np.flatnonzero(places >= 0)
+        out[at] = np.maximum(out[at], match_lengths(levels, left, sa[at], sa[places[at]]))
     return out
 
 
 def repeated(data: np.ndarray, ends: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
-    """Positions whose longest previous factor within their group reaches ``length``.
-
-    Suffixes equal in ``length`` bytes stand by position, so the previous smaller position of a
-    suffix is its neighbour when their ranks are equal; otherwise the match is shorter.
-    """
-    sa, rank = suffix_order(data, ends, group, length)
-    reaches = rank[sa[1:]] == rank[sa[:-1]]
-    return sa[1:][reaches]
+    """Positions whose longest previous factor within their group reaches ``length``."""
+    sa, _, levels = suffix_order(data, ends, group, length)
+    return sa[longest_previous_factors(sa, levels, ends - np.arange(len(data))) >= length]
 
 
 # ------------------------------------------------------------------------------- runs
@@ -193,23 +211,27 @@ def _eight(data: bytes, n: int) -> np.ndarray:
 
 
 def pack_runs(ids: np.ndarray, crc: np.ndarray, doc: np.ndarray, key: np.ndarray, whole: np.ndarray, start: np.ndarray, last: np.ndarray, place: np.ndarray) -> bytes:
-    """Runs of one bucket from one task, in order of document: 12 bytes of hashes each, the rest squeezed."""
+    """Runs of one bucket from one task, in order of document: 14 bytes of hashes each, the rest squeezed."""
     used, doc = np.unique(doc, return_inverse=True)
-    parts = [np.diff(ids[used], prepend=0), crc[used].astype(np.uint32), np.diff(doc, prepend=0).astype(np.uint32), start.astype(np.uint32), (last - start).astype(np.uint8), (place - start).astype(np.uint8)]
+    span, offset = last - start, place - start
+    # A run has at most length - gram strings and offsets: one byte each by default.
+    small = np.min_scalar_type(int(max(span.max(initial=0), offset.max(initial=0))))
+    parts = [np.diff(ids[used], prepend=0), crc[used].astype(np.uint32), np.diff(doc, prepend=0).astype(np.uint32), start.astype(np.uint32), span.astype(small), offset.astype(small)]
     rest = zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
-    return np.array([len(key), len(used)], np.int64).tobytes() + _six(key) + _six(whole) + rest
+    return np.array([len(key), len(used), small.itemsize], np.int64).tobytes() + _six(key) + whole.astype("<u8").tobytes() + rest
 
 
 def unpack_runs(data: bytes) -> dict[str, np.ndarray]:
-    n, docs = np.frombuffer(data, np.int64, 2).tolist()
-    rest = zstandard.ZstdDecompressor().decompress(data[16 + 12 * n :])
-    at, out = 0, []
-    for kind, count in ((np.int64, docs), (np.uint32, docs), (np.uint32, n), (np.uint32, n), (np.uint8, n), (np.uint8, n)):
+    n, docs, width = np.frombuffer(data, np.int64, 3).tolist()
+    rest = zstandard.ZstdDecompressor().decompress(data[24 + 14 * n :])
+    at, out, small = 0, [], np.dtype(f"u{width}")
+    for kind, count in ((np.int64, docs), (np.uint32, docs), (np.uint32, n), (np.uint32, n), (small, n), (small, n)):
         out.append(np.frombuffer(rest, kind, count, at))
         at += out[-1].nbytes
+    out[4:] = [x.astype(np.int64) for x in out[4:]]
     ids, crc = np.cumsum(out[0]), out[1].astype(np.int64)
     doc, start = np.cumsum(out[2].astype(np.int64)), out[3].astype(np.int64)
-    return {"key": _eight(data[16 : 16 + 6 * n], n), "all": _eight(data[16 + 6 * n : 16 + 12 * n], n), "id": ids[doc], "crc": crc[doc], "start": start, "last": start + out[4], "place": start + out[5]}
+    return {"key": _eight(data[24 : 24 + 6 * n], n), "all": np.frombuffer(data, "<u8", n, 24 + 6 * n), "id": ids[doc], "crc": crc[doc], "start": start, "last": start + out[4], "place": start + out[5]}
 
 
 def _firsts(key: np.ndarray, whole: np.ndarray, id_: np.ndarray, crc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,9 +267,9 @@ def hot_keys(base: DataFrame, size: int, length: int, gram: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.merged(batches):
+        for batch in C.merged(batches, most=SLICE):
             r = runs(*C.utf8(batch.column("text")), length, gram)
-            kind = np.unique(np.stack([r["key"] & _48, r["all"] & _48], 1).view(np.int64), axis=0)
+            kind = np.unique(np.stack([r["key"] & _48, r["all"]], 1).view(np.int64), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(kind[:, 0]), pa.array(kind[:, 1])], names=["key", "all"])
 
     sample = base.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == 0).select("text")
@@ -271,7 +293,7 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int, hot: np.ndarra
         order = np.lexsort((crc, ids))
         rank[order] = np.arange(len(ids))
         ids, crc, r["doc"] = ids[order], crc[order], rank[r["doc"]]
-        key, whole = r["key"] & _48, r["all"] & _48
+        key, whole = r["key"] & _48, r["all"]
         order, first, repeat = _firsts(key, whole, ids[r["doc"]], crc[r["doc"]], r["start"])
         gone = order[repeat]
         gone = gone[np.lexsort((r["start"][gone], r["doc"][gone]))]
@@ -298,7 +320,7 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int, hot: np.ndarra
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, crcs, docs, size = [], [], [], 0, 0
-        for batch in C.merged(batches):
+        for batch in C.merged(batches, most=SLICE):
             data, offsets = C.utf8(batch.column("text"))
             r = runs(data, offsets, length, gram)
             r["doc"] = r["doc"] + docs
@@ -352,7 +374,7 @@ def _found(base: DataFrame, buckets: int, length: int, gram: int, hot: np.ndarra
             yield from bucket(held)
 
     dealt = base.select("id", "crc", "text").mapInArrow(C.task("suffix_dedup", deal), "bucket int, spans boolean, data binary")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "spans").mapInArrow(C.task("suffix_dedup", compare), _FOUND)
+    return dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "spans").mapInArrow(C.task("suffix_dedup", compare), _FOUND)
 
 
 def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
@@ -389,7 +411,7 @@ def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
             yield from sent(out)
             first.clear(), later.clear()
 
-        for batch in C.merged(batches):
+        for batch in C.merged(batches, most=SLICE):
             out: list[tuple] = []
             for id_, crc, text, wants in zip(*(batch.column(c).to_pylist() for c in ("id", "crc", "text", "wanted"))):
                 data = text.encode()
@@ -413,7 +435,7 @@ def _fetched(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
     return base.join(wanted, ["id", "crc"]).mapInArrow(C.task("suffix_dedup", fetch), "key long, part int, id long, crc long, start int, end int, data binary")
 
 
-def _factors(pieces: DataFrame, length: int) -> DataFrame:
+def _factors(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
     """Step 3, second half: spans of strings whose longest previous factor reaches ``length``."""
 
     names = ["id", "crc", "start", "end"]
@@ -463,7 +485,7 @@ def _factors(pieces: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(pa.Table.from_batches(held))
 
-    dealt = pieces.repartition("key", "part").sortWithinPartitions("key", "part", "id", "crc", "start")
+    dealt = pieces.repartition(buckets, "key", "part").sortWithinPartitions("key", "part", "id", "crc", "start")
     return dealt.mapInArrow(C.task("suffix_dedup", run), "id long, crc long, start int, end int")
 
 
@@ -472,9 +494,9 @@ def _with_spans(docs: DataFrame, length: int, gram: int, carry: list[str]) -> Da
     C.python_tasks(docs.sparkSession)
     base = _base(docs, carry)
     size = C.plan_bytes(docs)
-    buckets = int(min(1 << 20, max(8, 2 * size // BUCKET_BYTES)))
+    buckets = int(max(8, 2 * size // BUCKET_BYTES))
     found = C.written(_found(base, buckets, length, gram, hot_keys(base, size, length, gram)), "suffix-found")
-    more = _factors(_fetched(base, found, length), length)
+    more = _factors(_fetched(base, found, length), buckets, length)
     spans = found.where("not request").select("id", "crc", "start", "end").unionByName(more)
     of_doc = spans.groupBy("id", "crc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     return base.join(of_doc, ["id", "crc"], "left")
@@ -486,7 +508,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.merged(batches):
+        for batch in C.merged(batches, most=SLICE):
             ids, n, removed, kept = [], [], [], []
             for id_, text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "starts", "ends"))):
                 data = text.encode()
@@ -509,7 +531,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     schema = T.StructType([T.StructField("row", T.StructType([docs.schema[c] for c in carry])), T.StructField("null_text", T.BooleanType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.merged(batches):
+        for batch in C.merged(batches, most=SLICE):
             out = []
             for text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "ends"))):
                 if starts:

@@ -46,19 +46,58 @@ def test_deduplicate_keeps_columns(frame):
     assert suffix_dedup.deduplicate(df.limit(0)).collect() == []
 
 
-def test_longest_previous_factor():
-    for data in (b"banana", b"", b"aaaa", b"abcabcab", b"mississippi"):
-        want = [max((k for j in range(i) for k in range(len(data) - i + 1) if data[i : i + k] == data[j : j + k]), default=0) for i in range(len(data))]
-        assert suffix_dedup.longest_previous_factor(data).tolist() == want
+def factors(data, length, group=None):
+    """(position, LPF) by the operator, for positions with ``length`` bytes before the end."""
+    ends, group = np.full(len(data), len(data)), np.zeros(len(data), np.int64) if group is None else group
+    sa, _, levels = suffix_dedup.suffix_order(data, ends, group, length)
+    return sa, suffix_dedup.longest_previous_factors(sa, levels, ends - np.arange(len(data)))
 
 
-def test_equal_neighbours_in_suffix_order_are_the_smaller_positions():
-    data = np.frombuffer(b"abcabcabcxabcabd" * 3, np.uint8)
-    ends, group = np.full(len(data), len(data)), np.zeros(len(data), np.int64)
-    lpf = suffix_dedup.longest_previous_factor(data.tobytes())
-    for length in (1, 2, 3, 5, 16, 20):
-        got = np.sort(suffix_dedup.repeated(data, ends, group, length))
-        assert got.tolist() == np.flatnonzero(lpf >= length).tolist()
+def brute_factors(data: bytes):
+    return [max((k for j in range(i) for k in range(len(data) - i + 1) if data[i : i + k] == data[j : j + k]), default=0) for i in range(len(data))]
+
+
+def test_longest_previous_factors():
+    for text in (b"banana", b"aaaa", b"abcabcab", b"mississippi", b"abcabcabcxabcabd" * 3, b"a" * 60):
+        want, data = np.array(brute_factors(text)), np.frombuffer(text, np.uint8)
+        for length in (1, 2, 3, 5, 16, 20, 33):
+            sa, lpf = factors(data, length)
+            assert sorted(sa.tolist()) == list(range(max(0, len(text) - length + 1)))
+            assert (np.minimum(lpf, length) == np.minimum(want[sa], length)).all()
+            got = np.sort(suffix_dedup.repeated(data, np.full(len(data), len(data)), np.zeros(len(data), np.int64), length))
+            assert got.tolist() == [i for i in range(max(0, len(text) - length + 1)) if want[i] >= length]
+
+
+def test_smaller_neighbours():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 50, 400):
+        for sa in (rng.permutation(n), np.arange(n), np.arange(n)[::-1]):
+            before, after = suffix_dedup.smaller_neighbours(sa)
+            for i in range(n):
+                assert before[i] == max((j for j in range(i) if sa[j] < sa[i]), default=-1)
+                assert after[i] == min((j for j in range(i + 1, n) if sa[j] < sa[i]), default=-1)
+
+
+def test_groups_and_pieces_are_kept_apart():
+    data, group = np.frombuffer(b"abcdabcdabcd", np.uint8), np.repeat([0, 1, 1], 4)
+    ends = np.repeat([4, 8, 12], 4)
+    assert suffix_dedup.repeated(data, ends, group, 3).tolist() == [8, 9]
+
+
+@pytest.mark.parametrize("length, gram", [(400, 32), (60, 20)])
+def test_other_lengths(frame, length, gram):
+    rows = planted() + [(900 + i, "b" * 600 + str(i) * 30) for i in range(3)]
+    got = suffix_dedup.spans(frame(rows), length, gram)
+    flat = sorted(((r.doc_id, r.n_bytes, sum(x.end - x.start for x in r.removed), len(r.removed), bytes(r.kept)) for r in got.collect()), key=repr)
+    assert flat == brute.repeats(rows, length)
+
+
+def test_runs_keep_their_offsets():
+    one, many = np.array([7]), np.array([1 << 63], np.uint64)
+    for span, offset in ((0, 0), (255, 9), (300, 290), (70_000, 5)):
+        packed = suffix_dedup.pack_runs(one, one, np.array([0]), many & suffix_dedup._48, many, one, one + span, one + offset)
+        found = suffix_dedup.unpack_runs(packed)
+        assert (found["start"][0], found["last"][0], found["place"][0], found["all"][0]) == (7, 7 + span, 7 + offset, 1 << 63)
 
 
 def shared_passage(n=400):
@@ -80,10 +119,10 @@ def test_a_common_passage_is_spread(frame, monkeypatch, sample, held):
     groups = []
     real = suffix_dedup._factors
 
-    def counted(pieces, length):
+    def counted(pieces, buckets, length):
         dealt = pieces.where("part > 0").groupBy("key", "part").count().agg({"count": "max"}).first()[0]
         groups.append(dealt)
-        return real(pieces, length)
+        return real(pieces, buckets, length)
 
     monkeypatch.setattr(suffix_dedup, "_factors", counted)
     rows = shared_passage()
