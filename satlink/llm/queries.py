@@ -113,7 +113,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_hard_negatives": op13_hard_negatives,
 }
 
+#: A-Z to a-z, and no other letter, in DuckDB.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_winnow_leaks": f"""
+        with docs as (
+            select row_number() over () as row_id, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from documents),
+        items as (
+            select distinct coalesce(cast(item_id as varchar), '') as item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+            from benchmark),
+        sized as (select *, least(len(words), 10) as size from items where len(words) > 0),
+        item_windows as (
+            select distinct item_id, size, list_slice(words, i, i + size - 1) as w
+            from (select *, unnest(range(1, len(words) - size + 2)) as i from sized)),
+        doc_windows as (
+            select row_id, size, i, list_slice(words, i, i + size - 1) as w
+            from (select *, unnest(range(1, len(words) - size + 2)) as i from docs, (select distinct size from sized) where len(words) >= size)),
+        hits as (select row_id, d.size, i, item_id from doc_windows d join item_windows t on d.size = t.size and d.w = t.w),
+        places as (select row_id, count(distinct p) as n_hit from (select row_id, unnest(range(i, i + size)) as p from hits) group by row_id),
+        found as (select row_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct row_id, item_id from hits) group by row_id)
+        select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from docs left join places using (row_id) left join found using (row_id)""",
+    "op9_divideskip_join": f"""
+        with recursive docs as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as words from documents),
+        shingles as (
+            select distinct doc_id, array_to_string(list_slice(words, i, i + 3), ' ') as shingle
+            from (select *, unnest(range(1, greatest(len(words) - 3, 1) + 1)) as i from docs where len(words) > 0)),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        shared as (
+            select a.doc_id as x, b.doc_id as y, count(*) as n
+            from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+        links as (
+            select x, y from shared s join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * s.n >= 85 * (a.n + b.n - s.n)),
+        reach as (
+            select doc_id as x, doc_id as y from docs
+            union
+            select r.x, l.y from reach r join links l on l.x = r.y)
+        select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id
+        from docs d left join sizes s on s.doc_id = d.doc_id
+        join (select x, min(y) as component_id from reach group by x) c on c.x = d.doc_id""",
     # crc32 bit by bit, as SQL has none; prefixes as lists of (role, text).
     "op11_prefix_trie": """
         with own as (

@@ -69,3 +69,14 @@ def test_words_of_equal_hash_are_told_apart(spark, frame, monkeypatch):
     items = [("i", f"{word} x")]
     got = decontaminate.contamination(frame(rows), spark.createDataFrame(items, "item_id string, text string"))
     assert brute.rows(got) == brute.leaks(rows, items) and {r.doc_id for r in got.where("contaminated").collect()} == {1, 3}
+
+
+def test_query_equals_its_sql(spark, small_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{small_dir}/{t}.parquet')")
+    want = con.execute(f"select doc_id, n_words, n_hit, n_items, items_sha256, contaminated from ({queries.ORACLE_SQL['op7_winnow_leaks']})").fetchall()
+    got = queries.op7_winnow_leaks(spark, small_dir).selectExpr('doc_id', 'n_words', 'n_hit', 'n_items', 'items_sha256', 'contaminated')
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 0

@@ -48,3 +48,14 @@ def test_components_of_long_paths_and_hubs(spark):
     got = {r.a: r.b for r in components.stars(df).collect()}
     assert got == {x: 7 for x in [*range(100, 401), *range(1000, 1200)]} | {91: 90}
     assert components.stars(df.limit(0)).collect() == []
+
+
+def test_query_equals_its_sql(spark, small_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{small_dir}/{t}.parquet')")
+    want = con.execute(f"select doc_id, n_shingles, component_id from ({queries.ORACLE_SQL['op9_divideskip_join']})").fetchall()
+    got = queries.op9_divideskip_join(spark, small_dir).selectExpr('doc_id', 'n_shingles', 'component_id')
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 0
