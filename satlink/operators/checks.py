@@ -6,7 +6,7 @@ share one scan and one aggregate; uniqueness and relationships have a job part o
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,6 +44,55 @@ def singular(df: DataFrame) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class Singular:
+    """A named query over the warehouse's tables that must return no rows.
+
+    ``query`` gets the tables by name and is run when all of ``models`` exist; the first of
+    them is the model it is reported under.
+    """
+
+    name: str
+    models: tuple[str, ...]
+    query: Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def _totals_differ(t: dict[str, DataFrame]) -> DataFrame:
+    """Articles whose daily views do not add up to the satellite's."""
+    sat = t["sat_article_views"].groupBy("hk_article").agg(F.sum("views").alias("views"))
+    pit = t["pit_article_day"].groupBy(F.col("hk_article").alias("hk")).agg(F.sum("views_day").alias("views_day"))
+    return sat.join(pit, sat["hk_article"].eqNullSafe(pit["hk"]), "full").filter(~F.col("views").eqNullSafe(F.col("views_day")))
+
+
+SINGULAR = (
+    Singular("views_are_not_negative", ("sat_article_views",), lambda t: t["sat_article_views"].filter("views < 0")),
+    Singular("daily_views_add_up", ("pit_article_day", "sat_article_views"), _totals_differ),
+    Singular("one_row_per_quake", ("quakes",), lambda t: unique(t["quakes"], "feature_id")),
+    Singular("quakes_of_days_add_up", ("pit_quake_day", "quakes"), lambda t: t["quakes"].filter("epoch_ms is not null").agg(F.count("*").alias("n"))
+             .join(t["pit_quake_day"].agg(F.coalesce(F.sum("n_quakes"), F.lit(0)).alias("n_days")), F.col("n") != F.col("n_days"))),
+    Singular("a_link_has_one_project", ("link_project_article",), lambda t: unique(t["link_project_article"], "hk_project_article")),
+)
+
+
+def singular_checks(t: dict[str, DataFrame], tests: Iterable[Singular] = SINGULAR) -> list[Check]:
+    return [Check(s.models[0], "", s.name, s.query(t)) for s in tests if all(m in t for m in s.models)]
+
+
+def freshness_checks(t: dict[str, DataFrame], now, warn_after_s: int, error_after_s: int, models: Iterable[str], ts_col: str = "load_dt") -> list[Check]:
+    """One failing row per table whose newest ``ts_col`` is too old (its status is ``warn`` or ``error``)."""
+    return [Check(m, ts_col, "freshness", freshness(t[m], ts_col, now, warn_after_s, error_after_s, m).filter("status <> 'pass'")) for m in models if m in t]
+
+
+def failing_rows(checks: Iterable[Check]) -> DataFrame | None:
+    """``model, column, test, row``: the failing rows of checks, each as JSON."""
+    parts = []
+    for c in checks:
+        rows = c.failures if c.table is None else not_null(c.table, c.column)
+        parts.append(rows.select(F.lit(c.model).alias("model"), F.lit(c.column).alias("column"), F.lit(c.test).alias("test"),
+                                 F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
 def freshness(df: DataFrame, ts_col: str, now, warn_after_s: int, error_after_s: int,
               source: str) -> DataFrame:
     """Newest ``ts_col`` against ``now``: ``source, newest, age_s, status`` (one row)."""

@@ -91,6 +91,29 @@ def pit_as_of(versions: DataFrame, keys: Sequence[str], ts: str, attrs: Sequence
     return picked.select(*keys, F.col("__x.d").alias(date_col), *[F.col(f"__x.h.v.{a}").alias(a) for a in attrs])
 
 
+def pit_as_of_next(snapshots: DataFrame | None, versions: DataFrame, keys: Sequence[str], ts: str, attrs: Sequence[str],
+                   snapshot, order: Sequence[str] | None = None, date_col: str = "snapshot_date") -> DataFrame:
+    """The rows of ``pit_as_of`` for one more date, from its last snapshot and the versions since.
+
+    ``snapshots``: earlier rows as this function makes them (with the ``order`` columns), or None;
+    only those of the newest earlier date are read, and of ``versions`` only those after it up to
+    date ``snapshot`` (both filters reach the scans). Versions with a ``ts`` at or before an earlier
+    snapshot's date must have been there when that snapshot was made.
+    """
+    order = list(order or [ts])
+    to = F.lit(snapshot if isinstance(snapshot, (date, datetime)) else date.fromisoformat(str(snapshot))).cast("timestamp_ntz")
+    names = list(dict.fromkeys([*keys, *attrs, *order]))
+    t = F.col(ts).cast("timestamp_ntz")
+    new = versions.filter(t <= to)
+    if snapshots is not None:
+        last = snapshots.filter(F.col(date_col) < to).agg(F.max(date_col)).first()[0]
+        if last is not None:
+            old = snapshots.filter(F.col(date_col) == F.lit(last).cast("timestamp_ntz")).select(*names)
+            new = new.filter(t > F.lit(last).cast("timestamp_ntz")).select(*names).unionByName(old)
+    best = F.max_by(F.struct(*names), F.struct(*order)).alias("__v")
+    return new.select(*names).groupBy(*keys).agg(best).select(*[F.col(f"__v.{n}").alias(n) for n in names], to.alias(date_col))
+
+
 def daily_stats(df: DataFrame, keys: Sequence[Column | str], value: str, prefix: str) -> DataFrame:
     """min / avg (rounded to 6 places) / max / count of ``value`` per key."""
     return df.groupBy(*keys).agg(

@@ -27,6 +27,7 @@ from satlink.plans.warehouse import Warehouse
 from satlink.session import run_dir
 from satlink.sources import landing as L
 from satlink.sources import shapers as S
+from satlink.sources.landing_sink import LandingSink
 from satlink.sources.json_scan import is_valid_json, scan_json, scan_parquet
 from satlink.sources.registry import SourceRegistry, scan_source
 
@@ -241,6 +242,32 @@ def q_pit_as_of(spark, sf_dir):
     return df.withColumn("snapshot_date", T.ntz_text("snapshot_date", "yyyy-MM-dd"))
 
 
+def q_pit_as_of_incremental(spark, sf_dir):
+    """The same snapshots, each made from the one before and the orders since, and stored."""
+    o = Tables(spark, sf_dir)["orders"]
+    store = VaultStore(spark, run_dir(spark, "vault"))
+    order = ["o_orderdate", "o_orderkey"]
+    for d in sorted(O.AS_OF_DATES):
+        rows = PIT.pit_as_of_next(store.read("pit_orders"), o, ["o_custkey"], "o_orderdate",
+                                  ["o_orderkey", "o_totalprice", "o_orderstatus"], d, order=order)
+        store.write_delta(rows, "pit_orders")
+    return (store.read("pit_orders").drop("o_orderdate")
+            .withColumn("snapshot_date", T.ntz_text("snapshot_date", "yyyy-MM-dd")))
+
+
+def q_landing_sink(spark, sf_dir):
+    """Pageviews landed in three batches, one of them twice and one after an attempt that died; read back and flattened."""
+    t = Tables(spark, sf_dir)
+    sink = LandingSink(spark, run_dir(spark, "landing"))
+    key = F.concat(F.lit("wikimedia/"), F.sha2("value", 256))
+    for n in (0, 1, 2, 1):
+        pay = S.wikimedia_payloads(t["events"].filter(F.pmod("user_id", F.lit(3)) == n))
+        if n == 2:  # an attempt without its marker is not read
+            pay.select(key.alias("landing_key"), "value").write.parquet(f"{sink.root}/wikimedia/load_date={LOAD_DT_1[:10]}/b2-died")
+        sink.land(pay, "wikimedia", LOAD_DT_1, f"b{n}", key=key)
+    return FL.stg_wikimedia(sink.read("wikimedia"))
+
+
 def q_pit_weather_day(spark, sf_dir):
     return PIT.pit_weather_day(_first_load(spark, sf_dir, "sat_weather_hourly"))
 
@@ -316,6 +343,11 @@ def q_pit_article_day_incremental(spark, sf_dir):
     return two_builds(spark, sf_dir, "wikimedia").table("pit_article_day")
 
 
+def q_pit_weather_day_incremental(spark, sf_dir):
+    """The PIT after two builds, the second computed anew for the touched days only."""
+    return two_builds(spark, sf_dir, "openmeteo").table("pit_weather_day")
+
+
 def q_materialize_view(spark, sf_dir):
     hub = V.hub_article(staged(Tables(spark, sf_dir), "wikimedia"), LOAD_DT_1)
     materialize(hub, "hub_article_view", "view")
@@ -494,6 +526,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable] = {f"stg_{s}": _stg(s) for s in FL.FLATTENERS}
     q.update({
         "scan_json_roundtrip": q_scan_json_roundtrip,
+        "landing_sink": q_landing_sink,
         "compact_parquet": q_compact_parquet,
         "src_registry_scan": q_src_registry_scan,
         "filter_valid_json": q_filter_valid_json,
@@ -518,6 +551,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pit_country_indicator_year": q_pit_country_indicator_year,
         "pit_latest_version": q_pit_latest_version,
         "pit_as_of": q_pit_as_of,
+        "pit_as_of_incremental": q_pit_as_of_incremental,
         "pit_weather_day": q_pit_weather_day,
         "pit_sensor_hour": q_pit_sensor_hour,
         "pit_sensor_day": q_pit_sensor_day,
@@ -531,6 +565,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_quakes_daily": q_mart_quakes_daily,
         "mart_commits_daily": q_mart_commits_daily,
         "pit_article_day_incremental": q_pit_article_day_incremental,
+        "pit_weather_day_incremental": q_pit_weather_day_incremental,
         "materialize_view": q_materialize_view,
         "materialize_table": q_materialize_table,
         "dq_run_checks": q_dq_run_checks,

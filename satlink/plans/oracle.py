@@ -263,6 +263,7 @@ def oracle_sql() -> dict[str, str]:
     dates = ", ".join(f"timestamp '{d} 00:00:00'" for d in AS_OF_DATES)
     q.update({
         "scan_json_roundtrip": stg_wikimedia(),
+        "landing_sink": stg_wikimedia(),
         "compact_parquet": stg_openaq(),
         "src_registry_scan": stg_usgs(),
         "filter_valid_json": (
@@ -406,6 +407,12 @@ def oracle_sql() -> dict[str, str]:
         "pit_article_day_incremental": (
             "select hk_article, project_id, substr(ts_yyyymmddhh, 1, 8) as yyyymmdd, cast(sum(views) as bigint) as views_day "
             f"from ({appended('sat_article_views')}) s group by all"),
+        "pit_as_of_incremental": q["pit_as_of"],
+        "pit_weather_day_incremental": (
+            "select hk_location, substr(ts, 1, 10) as day, min(temperature_2m) as temp_min, "
+            "round(avg(temperature_2m), 6) as temp_avg, max(temperature_2m) as temp_max, "
+            "min(relativehumidity_2m) as rh_min, round(avg(relativehumidity_2m), 6) as rh_avg, "
+            f"max(relativehumidity_2m) as rh_max, count(*) as n_obs from ({upserted('sat_weather_hourly')}) s group by all"),
         "materialize_view": HUB_SQL["hub_article"],
         "materialize_table": HUB_SQL["hub_article"],
         "dq_run_checks": " union all ".join(

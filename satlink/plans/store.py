@@ -15,7 +15,8 @@ Kinds, applied oldest to newest from the newest complete ``base``:
   only its batch, and ``read`` leaves out what newer merges replaced, by one anti-join with the
   keys of the merges, only in buckets that have some. A merge may also delete keys;
 * ``fold``  — the same rows as before, resolved, for the buckets it contains: what ``fold`` writes
-  when merges have piled up. Nothing derived from the table needs to follow it.
+  when merges have piled up. Nothing derived from the table needs to follow it. A bucket that it
+  holds cut finer (its name is the beginning of theirs) is replaced by those: a split.
 
 One writer per table: two writers that start from the same state would take the same version.
 Nothing is ever written over a folder that is being read. Reads go back to the files, so
@@ -108,14 +109,29 @@ class VaultStore:
             else:  # patch, fold: their buckets replace what was there
                 for b, p in leaves.items():
                     current[b] = [(kind, p)]
-        return {b: ps for b, ps in sorted(current.items()) if buckets is None or b in buckets or b == _ALL}
+                    for i in range(1, len(b)) if kind == "fold" else ():
+                        current.pop(b[:i], None)  # it was split
+        if buckets is None:
+            return dict(sorted(current.items()))
+        # A bucket may since have been split, or have been whole before: names that begin alike hold the same keys.
+        begins = {b[:i] for b in buckets for i in range(1, len(b))}
+        return {b: ps for b, ps in sorted(current.items())
+                if b == _ALL or b in buckets or b in begins or any(b[:i] in buckets for i in range(1, len(b)))}
 
     def paths(self, table: str, buckets: set[str] | None = None) -> list[str]:
         """Folders holding the current rows (of ``buckets`` only, when given)."""
         return [p for ps in self._state(table, buckets).values() for _, p in ps]
 
     def buckets(self, table: str) -> set[str]:
-        return {b for _, path in self.segments(table) for b in self._leaves(path)} - {_ALL}
+        return set(self._state(table)) - {_ALL}
+
+    def bucket_bytes(self, table: str, buckets: set[str] | None = None) -> dict[str, int]:
+        """Bytes on disk of the buckets (their own names only) with all that reads of them take in."""
+        out = {}
+        for b, ps in self._state(table).items():
+            if buckets is None or b in buckets:
+                out[b] = sum(fs.getContentSummary(p).getLength() for fs, p in (self._fs_path(path) for _, path in ps))
+        return out
 
     def exists(self, table: str) -> bool:
         return bool(self.segments(table))
@@ -211,10 +227,14 @@ class VaultStore:
         if due == {_ALL}:
             self.compact(table)
         elif due:
-            col = self.bucket_column(table)
-            self._write(self.read(table, due).withColumn(col, bucket).hint("rebalance", col), table, "fold", col)
+            self.rewrite(table, due, bucket)
         return due
 
+    def rewrite(self, table: str, buckets: set[str], bucket) -> None:
+        """Write buckets again, resolved, as one ``fold``; with a finer ``bucket`` they are split."""
+        col = self.bucket_column(table)
+        self._write(self.read(table, buckets).withColumn(col, bucket).hint("rebalance", col), table, "fold", col)
+
     def write_scratch(self, df: DataFrame, table: str, label: str) -> DataFrame:
         """Write an intermediate of a load of ``table`` once and read it back (lineage cut)."""
         path = f"{self.scratch}/{table}/{label}-{uuid.uuid4().hex}"

@@ -270,7 +270,30 @@ class Warehouse:
             df.createOrReplaceTempView(name)
         return out
 
-    def run_checks(self) -> DataFrame:
-        names = [*V.HUBS, *V.LINKS, *V.SATELLITES, *PITS, *GROUPED_PITS]
-        t = {n: df for n in names if (df := self.store.read(n)) is not None}
-        return C.run_checks(C.vault_checks({**t, **self.marts()}))
+    def tables(self) -> dict[str, DataFrame]:
+        """Every table and mart that exists, by name."""
+        names = [*V.HUBS, *V.LINKS, *V.SATELLITES, "quakes", *PITS, *GROUPED_PITS]
+        return {n: df for n in names if (df := self.store.read(n)) is not None} | self.marts()
+
+    def run_checks(self, now=None, warn_after_s: int = 86_400, error_after_s: int = 7 * 86_400,
+                   accepted: dict[tuple[str, str], list] | None = None, singular=C.SINGULAR, keep_failures: bool = False) -> DataFrame:
+        """``model, column, test, failures`` of all tests: the vault's constraints, accepted values
+        (``(model, column) -> values``), singular tests, and, with ``now``, the age of every loaded table.
+
+        ``keep_failures`` appends the failing rows as JSON to the table ``check_failures``.
+        """
+        t = self.tables()
+        checks = C.vault_checks(t) + C.singular_checks(t, singular)
+        checks += [C.Check(m, c, "accepted_values", C.accepted_values(t[m], c, v)) for (m, c), v in (accepted or {}).items() if m in t]
+        if now is not None:
+            checks += C.freshness_checks(t, now, warn_after_s, error_after_s, [*V.HUBS, *V.LINKS, *V.SATELLITES])
+        summary = C.run_checks(checks)
+        if keep_failures:
+            # One row per check: a handful for every table, whatever its size.
+            summary = self.store.write_scratch(summary, "checks", "summary")
+            failed = {(r.model, r.column, r.test) for r in summary.filter("failures > 0").collect()}
+            rows = C.failing_rows([c for c in checks if (c.model, c.column, c.test) in failed])
+            if rows is not None:
+                at = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+                self.store.write_delta(rows.withColumn("checked_at", at), "check_failures")
+        return summary

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from satlink.operators import checks as C
+from satlink.operators import vault as V
 from satlink.plans.catalog import Tables, source_batch
 from satlink.plans.store import VaultStore
 from satlink.plans.warehouse import Warehouse
@@ -19,6 +21,16 @@ def test_two_batch_build_checks_and_marts(spark):
     checks = wh.run_checks()
     assert checks.count() > 20
     assert checks.filter(F.col("failures") > 0).count() == 0  # every hk of links/sats is in its hub
+    # A day after the second load every table is fresh; ten days later none is, and the failing rows are kept.
+    names = {r.test for r in checks.collect()}
+    assert {"daily_views_add_up", "one_row_per_quake", "quakes_of_days_add_up", "views_are_not_negative"} <= names
+    late = wh.run_checks(now="2025-01-12 00:00:00", accepted={("sat_commit_meta", "verified"): [True]}, keep_failures=True,
+                         singular=[C.Singular("no_hub", ("hub_sensor",), lambda t: t["hub_sensor"].limit(3))])
+    bad = {(r.model, r.test): r.failures for r in late.filter("failures > 0").collect()}
+    assert bad[("hub_sensor", "no_hub")] == 3 and bad[("sat_commit_meta", "accepted_values")] == 1
+    assert {m for m, test in bad if test == "freshness"} == {*V.HUBS, *V.LINKS, *V.SATELLITES}
+    kept = wh.table("check_failures")
+    assert kept.filter("test = 'no_hub'").count() == 3 and kept.filter("test = 'freshness' and row like '%\"status\":\"error\"%'").count() == 13
     marts = wh.marts()
     assert marts["article_traffic_daily"].count() > 0
     assert marts["population_by_country_year"].count() > 0
