@@ -231,6 +231,9 @@ def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFr
 
     roles: (doc_id, x, y, role, root); under each key (x, y) every query (role 0) searches the
     candidates (role 1), and documents of role 2 search each other; never those of its own root.
+    Under a key the links are given as a forest: those that only close a circle are left out, and
+    candidates that are reached already are not searched again, so a group of n near copies gives
+    n - 1 rows, and components stay the same.
     """
     roles = C.cut(roles)
     source = docs.select("doc_id", "text").join(F.broadcast(roles) if roles.count() <= BROADCAST_ROWS else roles, "doc_id")
@@ -252,11 +255,24 @@ def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFr
             if not held or not queries:
                 return
             index = Inverted([s for _, _, s in held])
+            parent: dict[tuple[bool, int], tuple[bool, int]] = {}
+
+            def top(doc: int, root: int | None) -> tuple[bool, int]:
+                """What stands for all that the links found so far reach; documents of one root are reached from each other."""
+                v = (root is None, doc if root is None else root)
+                while parent.setdefault(v, v) != v:
+                    parent[v] = v = parent[parent[v]]
+                return v
+
             for doc, root, q in queries:
-                need = {i: required(len(q), len(s), percent) for i, (other, its, s) in enumerate(held) if other != doc and (its is None or its != root) and len(s)}
+                own = top(doc, root)
+                need = {i: required(len(q), len(s), percent) for i, (other, its, s) in enumerate(held) if len(s) and other != doc and top(other, its) != own}
                 need = {i: t for i, t in need.items() if t <= min(len(q), len(held[i][2]))}
-                for i in index.search(q, need):
-                    a.append(min(doc, held[i][0])), b.append(max(doc, held[i][0]))
+                for i in index.search(q, need) if need else ():
+                    reached = top(held[i][0], held[i][1])
+                    if reached != own:
+                        parent[reached] = own
+                        a.append(min(doc, held[i][0])), b.append(max(doc, held[i][0]))
 
         for batch in batches:
             for x, y, role, root, doc, data in zip(*(batch.column(c).to_pylist() for c in (*names, "shingles"))):
