@@ -18,8 +18,8 @@ itself; an empty table gives no images and no rows; other columns of the table a
 
 from __future__ import annotations
 
+import codecs
 import os
-import re
 import struct
 import unicodedata
 import zlib
@@ -38,13 +38,30 @@ SHARD_TOKENS = 4 << 20
 CACHE_CHUNKS = 350_000
 #: Bytes of (compressed) input for one range of documents.
 RANGE_BYTES = 16 << 20
+#: Bytes of text whose parts are told apart at once.
+_BATCH_BYTES = 4 << 20
 _JOINED = 1024  # new parts that the tokenizer gets at once
 _BETWEEN = "\0"
-#: A full stop or comma after a letter or digit, before a space. (The mark comes first: it is searched fast.)
-_APART = re.compile(r"([.,])(?<=[0-9a-zß-öø-ÿ].)(?= |$)")
+#: What a byte is to the cuts between parts. OTHER: control characters and all but ASCII (Latin-1 letters are found in pairs).
+_SPACE, _LETTER, _DIGIT, _MARK, _QUOTE, _OTHER = range(6)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[33:127] = _MARK
+for _bytes, _class in ((b" \n\r\t", _SPACE), (b"0123456789", _DIGIT), (b"'", _QUOTE), (bytes([*range(65, 91), *range(97, 123)]), _LETTER)):
+    _CLASS[list(_bytes)] = _class
+#: Whether a part starts at a byte of one class (second index) after one of another (first index).
+_CUT = np.zeros((8, 8), bool)
+_CUT[_SPACE] = True
+_CUT[_LETTER, [_DIGIT, _MARK, _QUOTE]] = True
+_CUT[_DIGIT, [_LETTER, _DIGIT, _MARK, _QUOTE]] = True
+_CUT[_MARK, [_LETTER, _DIGIT]] = True
+_CUT[_QUOTE, _DIGIT] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _MAGIC = b"WMX2"
 #: Bits between two entries of the rank directory, and bytes of a plane in one compressed piece.
 STEP, PIECE = 512, 32 << 10
+#: Ids that pack() parts by a bit at once.
+_RUN = 64 << 10
 #: Unpacked pieces that an open shard keeps.
 _KEPT = 256
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
@@ -66,13 +83,23 @@ def pack(ids: np.ndarray, doc_ids: np.ndarray, no_id: np.ndarray, lengths: np.nd
         plane = np.packbits(bit, bitorder="little")
         parts += [squeeze(plane[at : at + PIECE].tobytes()) for at in range(0, len(plane), PIECE)]
         directory.append(_directory(plane))
-        low = np.compress(~bit, now)
-        zeros.append(len(low))
-        now = np.concatenate([low, np.compress(bit, now)])
+        zeros.append(n - np.count_nonzero(bit))
+        now = _parted(now, bit, zeros[-1])
     head = struct.pack(f"<4sQQI{levels}Q{len(parts)}Q", _MAGIC, n, len(doc_ids), levels, *zeros, *map(len, parts))
     return head + b"".join(d.astype("<u4").tobytes() for d in directory) + b"".join(parts)
 
 
+def _parted(now: np.ndarray, bit: np.ndarray, zeros: int) -> np.ndarray:
+    """The elements without the bit, then those with it, in order; done by runs that stay in the processor's cache."""
+    out, at = np.empty_like(now), [0, zeros]
+    for begin in range(0, len(now), _RUN):
+        run, ones = now[begin : begin + _RUN], bit[begin : begin + _RUN]
+        for side, those in enumerate((np.flatnonzero(~ones), np.flatnonzero(ones))):
+            run.take(those, out=out[at[side] : at[side] + len(those)], mode="clip")
+            at[side] += len(those)
+    return out
+
+
 def _directory(plane: np.ndarray) -> np.ndarray:
     """Ones before each STEP bits of a plane."""
     ones = np.add.reduceat(_ONES[plane], np.arange(0, len(plane), STEP // 8), dtype=np.int64) if len(plane) else np.zeros(0, np.int64)
@@ -199,12 +226,16 @@ class Shard:
 # ------------------------------------------------------------------------------ encoding
 
 class Encoder:
-    """The tokenizer with a bounded cache of the parts between spaces.
+    """The tokenizer with a bounded cache of the parts that texts consist of.
 
     The tokenizer lower-cases, keeps no white space, looks at nothing across it, and always
-    parts letters and digits from marks. So the ids of a text are the ids of its parts, one
-    after the other, whichever white space is between them; ASCII capitals may be lowered and a
-    full stop or comma after a word set apart before, which leaves fewer different parts.
+    parts letters, single digits and marks from one another. So the ids of a text are the ids of
+    its parts, one after the other, whichever white space is between them. Texts are cut at white
+    space and where an ASCII or Latin-1 letter, an ASCII digit and an ASCII mark meet, and capitals
+    are lowered before, which leaves few different parts; a batch's parts are told apart and its
+    ids put together by Arrow. Never cut: beside any other letter, mark or control character, and
+    between an apostrophe and a letter ('s is one word); never lowered: a capital before such a
+    character, which it may be composed with.
     """
 
     def __init__(self, path: str):
@@ -215,7 +246,9 @@ class Encoder:
         self.words = self.tokenizer.model
         # Bytes as the letters that the vocabulary is written in: printable ones as they are, the rest from 256 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        self.letters = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+        letters = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+        #: The space stays: it parts words, none holds it.
+        self.letters = "".join(letters.get(b, chr(b)) if b != 32 else " " for b in range(256))
         self.known = C.TwoGenerations(CACHE_CHUNKS)
         # A part of its own that no other text encodes to: a zero byte.
         self.between = self._ids(_BETWEEN)
@@ -224,51 +257,96 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def parts(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        if "<|" in text:  # may be a special token, which is known by its case
-            return text.split(" ")
-        text = text.replace("\n", " ").encode().lower().decode()
-        return _APART.sub(r" \1", text).split(" ")
-
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [self.parts(t) for t in texts]
+        return self.column(pa.array(texts, pa.string()))
+
+    def column(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of an Arrow column."""
+        data, offsets = C.utf8(texts)
+        data, starts, first = _parts(data, offsets)
+        parts = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
         self.known.turn()
-        new = self.known.lacking(set().union(*split))
-        odd = [p for p in new if "\0" in p or "<|" in p] if self.joins else new
-        for part in odd:
-            self.known[part] = np.array(self._ids(part), "<u4").tobytes()
-        plain = [p for p in new if "\0" not in p and "<|" not in p] if self.joins else []
-        words = [p for p in plain if self._is_word(p)]
-        self.known.update(zip(words, map(self._word, words)))
-        plain = [p for p in plain if p not in self.known]
-        for at in range(0, len(plain), _JOINED):
-            self._learn(plain[at : at + _JOINED])
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+        ids = pa.array(self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(parts.indices)
+        _, ends, found = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[first].tolist() if len(ids) else [0] * len(first)
+        found = found.to_pybytes() if found is not None else b""
+        return [found[a:b] for a, b in zip(at, at[1:])]
+
+    def _known(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of different parts: what no text had yet is encoded."""
+        found = list(map(self.known.get, parts))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        self._learn(self.known.lacking([parts[i] for i in lacking]))
+        for i in lacking:
+            found[i] = self.known[parts[i]]
+        return found
+
+    def _learn(self, new: list[bytes]) -> None:
+        words, others = [], []
+        for part in new:
+            if (part.isalpha() and part.islower()) or self._is_word(text := part.decode()):
+                words.append(part)
+            elif self.joins and "\0" not in text and "<|" not in text:
+                others.append(text)
+            else:
+                self.known[part] = np.array(self._ids(text), "<u4").tobytes()
+        for at in range(0, len(words), _JOINED):
+            self._learn_words(words[at : at + _JOINED])
+        for at in range(0, len(others), _JOINED):
+            self._learn_joined(others[at : at + _JOINED])
 
     @staticmethod
     def _is_word(part: str) -> bool:
         """Whether a part is only letters that normalization leaves as they are: then it is one word to the model."""
-        return part.isalpha() and (part.isascii() or (part == part.lower() and unicodedata.is_normalized("NFC", part))) and part.islower()
+        return part.isalpha() and part.islower() and part == part.lower() and unicodedata.is_normalized("NFC", part)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one word, from the model alone."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        found = [t.id for t in self.words.tokenize(word)]
-        return struct.pack(f"<{len(found)}I", *found)
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Ids of words from the model alone."""
+        found = list(map(self.words.tokenize, codecs.charmap_decode(b" ".join(words), "strict", self.letters)[0].split(" ")))
+        ends = np.cumsum([4 * len(tokens) for tokens in found]).tolist()
+        data = np.array([t.id for tokens in found for t in tokens], "<u4").tobytes()
+        self.known.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn_joined(self, parts: list[str]) -> None:
         """Encode parts as one text, the zero byte between them, and cut its ids there."""
         found = self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(parts)], add_special_tokens=False)[0]
         ids = np.array(found.ids, "<u4")
         cuts = np.flatnonzero(ids == self.between[0])
         starts, ends = (4 * np.append(0, cuts + 1)).tolist(), (4 * np.append(cuts, len(ids))).tolist()
         data = ids.tobytes()
-        self.known.update(zip(parts, [data[a:b] for a, b in zip(starts, ends)]))
+        self.known.update(zip(map(str.encode, parts), [data[a:b] for a, b in zip(starts, ends)]))
+
+
+def _parts(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cut texts: bytes of all parts without white space, where each starts there (and their end), each text's first part."""
+    n = len(text)
+    kind, low = _CLASS[text], _LOWER[text]
+    after = np.append(text[1:], np.uint8(0))
+    composes = (after >= 0x80) & (after != 0xC3)  # may change the letter before it; U+00C0 to U+00FF do not
+    held = np.flatnonzero(composes & (low != text))
+    low[held] = text[held]
+    lead = np.flatnonzero(text == 0xC3)
+    second = text[lead + 1]
+    letters = lead[(second != 0x97) & (second != 0xB7)]  # all but the signs for times and divided
+    kind[letters] = kind[letters + 1] = _LETTER
+    capital = lead[(second < 0x9F) & (second != 0x97)] + 1
+    low[capital[~composes[capital]]] += 32
+    special = np.flatnonzero((text == ord("<")) & (after == ord("|")))
+    for i in np.unique(np.searchsorted(offsets, special, "right") - 1).tolist():
+        # May hold a special token, which is known by its case: cut at white space only.
+        a, b = offsets[i], offsets[i + 1]
+        low[a:b] = text[a:b]
+        kind[a:b][kind[a:b] != _SPACE] = _OTHER
+    keep = kind != _SPACE
+    cut = np.empty(n, bool)
+    cut[1:] = _CUT.ravel()[(kind[:-1] << 3) | kind[1:]]
+    cut[offsets[:-1][offsets[:-1] < n]] = True
+    cut &= keep
+    first = np.searchsorted(np.flatnonzero(cut), offsets)
+    starts = np.flatnonzero(cut[keep])
+    data = low[keep]
+    return data, np.append(starts, len(data)).astype(np.int32), first
 
 
 _encoders: dict[str, Encoder] = {}
@@ -302,8 +380,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
             return pa.RecordBatch.from_pydict({"shard": [shard], "part": [part], "n_docs": [len(doc_ids)], "n_tokens": [size], "file": [image]}, schema=arrow)
 
         e = encoder(tokenizer)
-        for batch in C.merged(batches):
-            for doc, found in zip(batch.column("doc_id").to_pylist(), e.texts(batch.column("text").to_pylist())):
+        for batch in C.merged(batches, most=_BATCH_BYTES):
+            for doc, found in zip(batch.column("doc_id").to_pylist(), e.column(batch.column("text"))):
                 n = len(found) // 4 + 1
                 if size and size + n > shard_tokens:
                     yield flush()

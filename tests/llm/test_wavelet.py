@@ -74,3 +74,28 @@ def test_parts_are_encoded_as_the_library_does():
     e = wavelet.Encoder(WORDS)
     got = [np.frombuffer(x, "<u4").tolist() for x in e.texts(texts)]
     assert got == [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_marks_and_digits_make_no_new_parts():
+    """A word with any marks or digits beside it, in capitals or not, is one part: few parts are kept and looked up."""
+    marks = [m * k for m in "!?.,;:*#$%&(-" for k in (1, 2)]
+    texts = [f"{word}{m}{word.upper()} {m}{word}{i} {word}'s\t{word}" for word in ("window", "fenêtre") for i, m in enumerate(marks)]
+    e = wavelet.Encoder(WORDS)
+    got = [np.frombuffer(x, "<u4").tolist() for x in e.texts(texts)]
+    assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(e.known) <= 2 + 10 + len(marks) + 1
+
+
+def test_capitals_before_combining_marks_are_composed_as_they_are():
+    """h, j, t, w and y with some marks have composed forms, their capitals have none."""
+    texts = [f"x {c}{mark}a {c.lower()}{mark}, É{mark}É" for c in "HJTWYAÉ" for mark in "\u0331\u030c\u0308\u030a\u0338\u0323\u0301"]
+    texts += ["<=\u0338 5\u0308 a\u0301'S 'tis' ''s !'s don't'RE 's5'5", "×÷²½ÀÿßÞ\r\nÉ", " ", "É"]
+    e = wavelet.Encoder(WORDS)
+    got = [np.frombuffer(x, "<u4").tolist() for x in e.texts(texts)]
+    assert got == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_elements_are_parted_across_runs():
+    now = np.random.default_rng(3).integers(0, 1 << 16, 3 * wavelet._RUN + 5).astype(np.uint16)
+    bit = now & 8 != 0
+    assert (wavelet._parted(now, bit, int((~bit).sum())) == np.concatenate([now[~bit], now[bit]])).all()
