@@ -16,7 +16,10 @@ Two documents link when 100 * intersection >= ``PERCENT`` * union of their sets
    of lists longer than ``LONG`` go to blocks of about ``CHUNK`` documents instead, and the blocks
    that meet in a list are compared whole: a document is sent once for each such block, not once
    for each pair.
-5. A query document and its candidates, or two blocks, meet with their whole sets: the sets form
+5. Candidates meet first with their sets' spreads, the numbers of shingles in ``CLASSES`` classes
+   of hashes. Two sets share no more than the smaller number of each class, so those that cannot
+   reach the overlap T leave exactly; sets without a partner left are never sent.
+6. A query document and its candidates, or two blocks, meet with their whole sets: the sets form
    inverted lists, DivideSkip sets the longest aside, heap-merges the short ones and probes the
    long ones by binary search, and keeps candidates that reach the overlap T.
 
@@ -53,8 +56,12 @@ SLICES = 16
 SALTS = 64
 CHUNK = 64
 LONG = 32
-#: Candidate rows that may be broadcast (32 bytes each); beyond, the documents are shuffled instead.
+#: Candidate rows that may be broadcast (32 bytes each); beyond, the documents they name are shuffled instead.
 BROADCAST_ROWS = 1_000_000
+#: Classes of a spread, a byte each. A class of ``FULL`` shingles or more bounds nothing.
+CLASSES, FULL = 256, 255
+#: Bits that tell which documents are named by too many rows to broadcast (4 MB).
+MARKS = 1 << 25
 #: A cell is common when it holds this many times the mean, and this many occurrences.
 COMMON_TIMES, COMMON_LEAST = 16, 8192
 _WORDS = B.Words(B.nonspace_bytes())
@@ -147,22 +154,45 @@ class Inverted:
         return found
 
 
+def spread(s: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each class of hashes."""
+    return np.minimum(np.bincount((s % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), FULL).astype(np.uint8)
+
+
 def _documents(docs: DataFrame, sketch, size: int, percent: int) -> DataFrame:
-    """Rows (doc_id, n, k1, k2, prefix) of documents with a set; the prefix from rare to common."""
+    """Rows (doc_id, n, k1, k2, spread, prefix) of documents with a set; the prefix from rare to common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.merged(batches):
-            n, k1, k2, prefix = [], [], [], []
+            n, k1, k2, spreads, prefix = [], [], [], [], []
             for s in shingle_sets(batch, size):
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     k1.append(int(B.mix(s).sum(dtype=np.uint64).view(np.int64)))
                     k2.append(int(B.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
+                spreads.append(spread(s).tobytes())
                 p = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 prefix.append(s[np.lexsort((s, sketch.value[(s >> np.uint64(44)).astype(np.int64)]))[:p]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "k1", "k2", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(spreads, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "k1", "k2", "spread", "prefix"])
+
+    return docs.select("doc_id", "text").mapInArrow(C.task("jaccard_join", run), "doc_id long, n int, k1 long, k2 long, spread binary, prefix array<long>")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
-    return docs.select("doc_id", "text").mapInArrow(C.task("jaccard_join", run), "doc_id long, n int, k1 long, k2 long, prefix array<long>")
+
+def _representatives(known: DataFrame) -> DataFrame:
+    """One row (rep, n, prefix) for each set, that of its smallest doc_id.
+
+    Only the keys of the sets are shuffled: most sets are there once, and their rows stay where they are.
+    """
+    known = known.where("n > 0 and doc_id is not null").select("doc_id", "n", "k1", "k2", "prefix")
+    again = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    again = _small(C.cut(again))
+    once = known.join(again.drop("rep"), ["k1", "k2"], "left_anti").select(F.col("doc_id").alias("rep"), "n", "prefix")
+    first = known.join(again, ["k1", "k2"]).where("doc_id = rep").groupBy("k1", "k2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    return once.unionByName(first.drop("k1", "k2"))
 
 
 def _lists(reps: DataFrame, sketch) -> DataFrame:
@@ -226,7 +256,93 @@ def _block_roles(long_: DataFrame) -> DataFrame:
     return first.unionByName(tiles.where("x <> y").join(members, F.col("y") == F.col("block")).select("doc_id", "x", "y", F.lit(0).alias("role"), "root"))
 
 
-def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFrame:
+_ROLE = "x long, y long, role int, root long, doc_id long"
+_NAMES = ("x", "y", "role", "root", "doc_id")
+
+
+def _may_reach(known: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
+    """The roles of documents that can link with another one under their key, by the spreads of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, met, out = None, [], []
+
+        def close() -> None:
+            queries = [i for i, row in enumerate(met) if row[2] != 1]
+            held = [i for i, row in enumerate(met) if row[2] != 0]
+            if not queries or not held:
+                return
+            n = np.array([row[5] for row in met], np.int64)
+            spreads = np.frombuffer(b"".join(row[6] for row in met), np.uint8).reshape(-1, CLASSES)
+            doc = np.array([row[4] for row in met], np.int64)
+            root = np.array([row[3] or 0 for row in met], np.int64)
+            rooted = np.array([row[3] is not None for row in met])
+            stay, at = np.zeros(len(met), bool), np.array(held)
+            theirs = spreads[at]
+            for i in queries:
+                least = np.minimum(theirs, spreads[i])
+                reach = (least.sum(axis=1, dtype=np.int64) >= -(-percent * (n[i] + n[at]) // (100 + percent))) | (least == FULL).any(axis=1)
+                reach &= (doc[at] != doc[i]) & ~(rooted[at] & rooted[i] & (root[at] == root[i]))
+                stay[at] |= reach
+                stay[i] |= reach.any()
+            out.extend(met[i][:5] for i in np.flatnonzero(stay))
+
+        def given() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array([row[k] for row in out], pa.int32() if k == 2 else pa.int64()) for k in range(5)], names=list(_NAMES))
+            out.clear()
+            return batch
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in (*_NAMES, "n", "spread"))):
+                if row[:2] != key:
+                    close()
+                    key, met = row[:2], []
+                met.append(row)
+            yield given()
+        close()
+        yield given()
+
+    met = known.select("doc_id", "n", "spread").where("n > 0").join(_small(roles), "doc_id").select(*_NAMES, "n", "spread")
+    return met.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(C.task("jaccard_join", run), _ROLE).distinct()
+
+
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id has a bit that one of ``ids`` sets: all of those, and few others."""
+    part = MARKS // 8 // SLICES
+
+    def bits(column) -> np.ndarray:
+        return (B.mix(pc.fill_null(column, 0).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(MARKS)).astype(np.int64)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(MARKS // 8, np.uint8)
+        for batch in batches:
+            at = bits(batch.column("doc_id"))
+            np.bitwise_or.at(total, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        yield pa.RecordBatch.from_pydict({"slice": list(range(SLICES)), "bits": [squeeze(total[i * part : (i + 1) * part].tobytes()) for i in range(SLICES)]}, schema=arrow)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        loose = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for i, data in zip(batch.column("slice").to_pylist(), batch.column("bits").to_pylist()):
+                totals[i] = totals.get(i, np.uint8(0)) | np.frombuffer(loose(data), np.uint8)
+        yield pa.RecordBatch.from_pydict({"slice": list(totals), "bits": [t.tobytes() for t in totals.values()]}, schema=arrow)
+
+    arrow = pa.schema([("slice", pa.int32()), ("bits", pa.binary())])
+    found = np.zeros(MARKS // 8, np.uint8)
+    for r in ids.mapInArrow(C.task("jaccard_join", mark), "slice int, bits binary").repartition(SLICES, "slice").mapInArrow(C.task("jaccard_join", add), "slice int, bits binary").collect():
+        found[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["bits"], np.uint8)
+    marks = docs.sparkSession.sparkContext.broadcast(found)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = bits(batch.column("doc_id"))
+            yield batch.filter(pa.array((marks.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+
+    return docs.mapInArrow(C.task("jaccard_join", keep), docs.schema)
+
+
+def _links(docs: DataFrame, known: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) that link, found by T-occurrence over the whole sets that meet under a key.
 
     roles: (doc_id, x, y, role, root); under each key (x, y) every query (role 0) searches the
@@ -235,9 +351,9 @@ def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFr
     candidates that are reached already are not searched again, so a group of n near copies gives
     n - 1 rows, and components stay the same.
     """
-    roles = C.cut(roles)
-    source = docs.select("doc_id", "text").join(F.broadcast(roles) if roles.count() <= BROADCAST_ROWS else roles, "doc_id")
-    names = ("x", "y", "role", "root", "doc_id")
+    roles = C.cut(_may_reach(known, C.cut(roles), percent))
+    docs, names = docs.select("doc_id", "text"), _NAMES
+    source = docs.join(F.broadcast(roles), "doc_id") if roles.count() <= BROADCAST_ROWS else _marked(docs, roles.select("doc_id")).join(roles, "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.merged(batches):
@@ -291,7 +407,7 @@ def _links(docs: DataFrame, roles: DataFrame, size: int, percent: int) -> DataFr
         close()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = source.select("text", *names).mapInArrow(C.task("jaccard_join", sets), "x long, y long, role int, root long, doc_id long, shingles binary")
+    dealt = source.select("text", *names).mapInArrow(C.task("jaccard_join", sets), f"{_ROLE}, shingles binary")
     return dealt.repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(C.task("jaccard_join", search), "a long, b long").distinct()
 
 
@@ -302,9 +418,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = P
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs, size))
     known = C.written(_documents(docs, sketch, size, percent), "jaccard-documents")
-    of_key = known.where("n > 0 and doc_id is not null").groupBy("k1", "k2")
-    reps = of_key.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    lists = _lists(reps, sketch)
+    lists = _lists(_representatives(known), sketch)
     order = Window.partitionBy("token", "salt").orderBy("n", "rep")
     before = [F.lag(c).over(order).alias(f"last_{c}") for c in ("rep", "n", "rank")]
     lists = lists.select("*", *before, F.lead("rep").over(order).alias("next_rep"))
@@ -317,14 +431,14 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = P
     heads = lists.where("salt >= 0 and last_rep is null").select("rep", F.lag("rep").over(parts).alias("last"))
     near = near.unionByName(heads.where("last is not null").select(F.col("last").alias("a"), F.col("rep").alias("b")))
     near = near.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    stars = components.stars(_links(docs, _pair_roles(near), size, percent))
+    stars = components.stars(_links(docs, known, _pair_roles(near), size, percent))
 
     # What is left: in each list, members outside its largest component with members of other components.
-    labelled = lists.join(stars.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
+    labelled = lists.join(_small(stars.select(F.col("a").alias("rep"), F.col("b").alias("root"))), "rep", "left")
     labelled = C.written(labelled.select("token", "rep", "n", "rank", F.coalesce("root", "rep").alias("root")), "jaccard-labelled")
     shares = labelled.groupBy("token", "root").agg(F.count("*").alias("share"))
     mixed = shares.groupBy("token").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.sum("share").alias("members"), F.count("*").alias("roots")).where("roots > 1")
-    mixed = C.cut(labelled.join(mixed.select("token", "largest", "members"), "token"))
+    mixed = C.written(labelled.join(mixed.select("token", "largest", "members"), "token"), "jaccard-mixed")
     short = mixed.where(F.col("members") <= LONG)
     x = short.where("root <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "rank", "root", "largest")])
     small_x = F.struct("x_n", "x_rep") < F.struct("n", "rep")
@@ -333,10 +447,10 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, percent: int = P
     rest = x.join(short.select("token", "rep", "n", "rank", "root"), "token").where((F.col("root") != F.col("x_root")) & one_way & fits)
     rest = rest.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
     blocks = _block_roles(mixed.where(F.col("members") > LONG).select("token", "members", "rep", "root"))
-    more = _links(docs, _pair_roles(rest).unionByName(blocks), size, percent)
+    more = _links(docs, known, _pair_roles(rest).unionByName(blocks), size, percent)
     stars = components.stars(stars.unionByName(more))
 
-    class_of = of_key.agg(F.min("doc_id").alias("rep")).join(stars.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
+    class_of = known.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")).join(stars.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     class_of = class_of.select("k1", "k2", F.coalesce("root", "rep").alias("root"))
     linked = known.select("doc_id", "n", "k1", "k2").join(class_of, ["k1", "k2"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("root")).otherwise(F.col("doc_id"))
