@@ -189,7 +189,10 @@ def _representatives(known: DataFrame) -> DataFrame:
     """
     known = known.where("n > 0 and doc_id is not null").select("doc_id", "n", "k1", "k2", "prefix")
     again = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    again = _small(C.cut(again))
+    again = C.cut(again)
+    if again.count() > BROADCAST_ROWS:  # the sets meet by a shuffle in any case: one of all rows
+        return known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).drop("k1", "k2")
+    again = F.broadcast(again)
     once = known.join(again.drop("rep"), ["k1", "k2"], "left_anti").select(F.col("doc_id").alias("rep"), "n", "prefix")
     first = known.join(again, ["k1", "k2"]).where("doc_id = rep").groupBy("k1", "k2").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     return once.unionByName(first.drop("k1", "k2"))

@@ -95,3 +95,18 @@ def test_texts_of_a_shared_doc_id_are_told_apart(spark, small_dir):
     assert left.columns == docs.columns
     want = [(1, text("a")), (1, text("c")), (0, text("b")), (2, text("d")), (None, text("a")), (None, text("a")), (3, None), (3, "")]
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_more_copies_than_may_be_broadcast(spark, small_dir, monkeypatch):
+    """Where most documents go, those that stay are told by their keys: no text is shuffled, and rows without doc_id stay."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, text) for i in range(9)] + [(20, "one two three four five six"), (None, text), (21, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (0, 3, 100):
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_IDS", most)
+        kept = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+        assert sorted((r.doc_id for r in kept.collect()), key=repr) == [0, 20, 21, None]
+    known = docs.where("doc_id is not null").selectExpr("*", "doc_id as key")
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_IDS", 3)
+    plan = corpus_pipeline._without(known, "key", known.where("doc_id between 1 and 8").select("key"))
+    assert "SortMergeJoin" not in plan._jdf.queryExecution().executedPlan().toString()
