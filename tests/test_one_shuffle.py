@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from core_helpers import SMALL, rows
 from satlink.operators import vault as V
-from satlink.operators.load import fits_broadcast, load_satellite, new_rows, packed, unpacked
+from satlink.operators.load import Layout, Period, fits_broadcast, load_satellite, new_rows, packed, unpacked
 from satlink.plans import catalog
 from satlink.plans.store import VaultStore
 from satlink.plans.warehouse import Warehouse
@@ -95,3 +95,48 @@ def test_pit_refresh_gives_the_same_with_and_without_broadcast(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert got[0] == got[1]
+
+
+def test_hashes_are_made_when_rows_enter_the_table(spark, tmp_path):
+    """Batches of texts give the tables that batches of hashes give, by broadcast and by shuffles, new, altered and replayed."""
+    schema = "sensor_id long, parameter string, unit string, date_utc string, value double, lat double, lon double"
+    at = lambda n, value: [(i % 7, f"p{i % 3}", "u", f"2026-01-{1 + i % 28:02d}T00:00:00Z", value + i, 1.0, None) for i in range(n)]
+    batches = [at(100, 0.0), at(60, 0.0)[:50] + at(90, 5.0)[50:], at(100, 0.0)[:60], at(30, 9.0) + [(1, None, "u", "2026-01-02T00:00:00Z", 1.0, 1.0, 1.0)]]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (limit, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            for mode, reject in (("upsert", True), ("append", True), ("upsert", False), ("append", False)):
+                got = []
+                for hashed in (True, False):
+                    store = VaultStore(spark, str(tmp_path / f"{threshold}-{mode}-{reject}-{hashed}"))
+                    for n, data in enumerate(batches if reject else batches[::3]):
+                        batch = V.sat_sensor_measurements(spark.createDataFrame(data, schema), f"2026-02-0{n + 1} 00:00:00", hashed=hashed, reject_null_keys=reject)
+                        out = load_satellite(batch, store, "s", mode, period=Period("date_utc", (4, 7, 10, 13)), on_write="merge")
+                    got.append((out.columns, rows(out), store.buckets("s")))
+                assert got[0] == got[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    batch = V.sat_sensor_measurements(spark.createDataFrame(batches[0], schema), "2026-02-01 00:00:00", hashed=False)
+    kept = VaultStore(spark, str(tmp_path / "x")).write_scratch(batch, "s", "batch")
+    assert kept.select("hash_natural_key").first()[0].count("|") == 2
+    above, below = plan(Layout(column="date_utc", width=4, chars=0).deal(kept), executed=False).split("RebalancePartitions")
+    assert "sha2(" in above and "sha2(" not in below
+
+
+def test_one_merge_is_read_by_one_join(spark, tmp_path):
+    store = VaultStore(spark, str(tmp_path))
+    frame = lambda *r: spark.createDataFrame(r, "hash_natural_key string, v int, b string")
+    h = ["%064x" % i for i in range(4)]
+    store.write_base(frame((h[0], 1, "x"), (h[1], 2, "x"), (None, 3, "x"), ("no hash", 4, "x"), ("other", 5, "x")), "t", "b")
+    store.write_merge(frame((h[1], 20, "x"), (h[2], 30, "x"), (h[2], 31, "x"), (None, 33, "x"), ("no hash", 40, "x")), "t", ["hash_natural_key"], "b")
+    read = store.read("t").select("hash_natural_key", "v")
+    assert "Aggregate" not in plan(read) and "sha2" not in plan(read)
+    assert sorted(rows(read), key=repr) == sorted([(h[0], 1), (h[1], 20), (h[2], 30), (h[2], 31), (None, 3), (None, 33), ("no hash", 40), ("other", 5)], key=repr)
+
+
+def test_times_in_payloads_are_made_once(spark):
+    t = catalog.Tables(spark, SMALL)
+    for shaped in (S.openmeteo_payloads(t["lineitem"]), S.openaq_payloads(t["lineitem"])):
+        text = plan(shaped)
+        assert text.count("l_shipdate as string)") + text.count("l_shipdate as timestamp_ntz) as string)") <= 1
